@@ -67,10 +67,12 @@ def votes(texts: DataFrame, *keep: str) -> DataFrame:
         bars="filter(w, x -> x = '|')",
         distinct="array_distinct",
     )
-    split = texts.withColumn("t", F.coalesce("t", F.lit(""))).selectExpr(
-        *keep, "t", r"filter(split(t, '[ \\t\\n\\r]+'), x -> x <> '') as w", r"filter(split(t, '\\n'), x -> x <> '') as l"
-    )
-    return split.selectExpr(*keep, *[x.strip() for x in features.split(",\n")]).selectExpr(*keep, *[f"{_vote(r)} as {r}" for r in RULES])
+    t = "coalesce(t, '')"
+    words, lines = rf"filter(split({t}, '[ \\t\\n\\r]+'), x -> x <> '')", rf"filter(split({t}, '\\n'), x -> x <> '')"
+    # a generator of one row keeps the optimiser from copying the splits and counts into every use of them
+    split = texts.selectExpr(*keep, f"inline(array(named_struct('t', {t}, 'w', {words}, 'l', {lines})))")
+    counts = ", ".join("'{1}', {0}".format(*x.strip().rsplit(" as ", 1)) for x in features.split(",\n"))
+    return split.selectExpr(*keep, f"inline(array(named_struct({counts})))").selectExpr(*keep, *[f"{_vote(r)} as {r}" for r in RULES])
 
 
 def estimate(patterns: list[tuple[tuple[int | None, ...], int]]) -> tuple[float, dict[tuple[int | None, ...], float]]:
