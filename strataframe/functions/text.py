@@ -174,32 +174,37 @@ STOP_WORDS = {
 }
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: a lambda's variable is bound, where a repeated expression would be evaluated at each use."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _among(words: list[str]):
     return lambda w: w.isin(words)
 
 
 def detect_language(c: Column | str, supported: list[str], default: str = "de", windows: int = 5, words: int = 10) -> Column:
     """The majority over evenly placed word windows of the language whose function words are met most; ties go to the first by name."""
-    toks = tokenize(F.lower(F.regexp_replace(_col(c), r"[\d\p{Punct}]", " ")))
-    n = F.size(toks)
     names = sorted(s for s in supported if s in STOP_WORDS)
     if not names:
         return F.lit(default)
 
-    def vote(k: Column) -> Column:
-        at = F.floor(k * F.greatest(n - words, F.lit(0)) / F.lit(max(1, windows - 1))).cast("int")
-        part = F.slice(toks, at + 1, words)
-        hits = [F.size(F.filter(part, _among(STOP_WORDS[s]))) for s in names]
-        best = F.greatest(*hits) if len(hits) > 1 else hits[0]
-        pick = F.lit(None).cast("string")
-        for s, h in reversed(list(zip(names, hits))):
-            pick = F.when(h == best, F.lit(s)).otherwise(pick)
-        return F.when(best > 0, pick)
-
-    votes = F.filter(F.transform(F.sequence(F.lit(0), F.lit(windows - 1)), vote), lambda v: v.isNotNull())
-    tally = F.transform(F.array_sort(F.array_distinct(votes)), lambda v: F.struct(F.size(F.filter(votes, lambda x: x == v)).alias("n"), v.alias("lang")))
-    top = F.array_max(F.transform(tally, lambda t: t["n"]))
-    return F.coalesce(F.get(F.transform(F.filter(tally, lambda t: t["n"] == top), lambda t: t["lang"]), F.lit(0)), F.lit(default))
+    def vote(toks: Column, k: Column) -> Column:
+        at = F.floor(k * F.greatest(F.size(toks) - words, F.lit(0)) / F.lit(max(1, windows - 1))).cast("int")
+
+        def best(part: Column) -> Column:
+            hits = F.array(*[F.struct(F.size(F.filter(part, _among(STOP_WORDS[s]))).alias("n"), F.lit(-i).alias("i"), F.lit(s).alias("lang")) for i, s in enumerate(names)])
+            return _let(F.array_max(hits), lambda h: F.when(h["n"] > 0, h["lang"]))
+
+        return _let(F.slice(toks, at + 1, words), best)
+
+    def majority(votes: Column) -> Column:
+        tally = F.array(*[F.struct(F.size(F.filter(votes, _among([s]))).alias("n"), F.lit(-i).alias("i"), F.lit(s).alias("lang")) for i, s in enumerate(names)])
+        return _let(F.array_max(tally), lambda t: F.when(t["n"] > 0, t["lang"]))
+
+    toks = tokenize(F.lower(F.regexp_replace(_col(c), r"[\d\p{Punct}]", " ")))
+    found = _let(toks, lambda t: _let(F.transform(F.sequence(F.lit(0), F.lit(windows - 1)), lambda k: vote(t, k)), majority))
+    return F.coalesce(found, F.lit(default))
 
 
 def supported_language(c: Column | str, supported: list[str], default: str = "de") -> Column:

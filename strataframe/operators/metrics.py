@@ -85,10 +85,15 @@ def expression_usage(used: DataFrame, configured: DataFrame, *keys: str) -> tupl
     return used.groupBy(*keys).agg(F.count("*").alias("n")), configured.select(*keys).distinct().join(used, list(keys), "left_anti")
 
 
+def correlation(x: str, y: str) -> Column:
+    """G14 as an aggregate; ``corr`` itself would fail on a constant side."""
+    both = F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.col(x)), F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.col(y))
+    return F.coalesce(F.try_divide(F.covar_pop(x, y), F.nullif(F.stddev_pop(both[0]) * F.stddev_pop(both[1]), F.lit(0.0))), F.lit(0.0))
+
+
 def pearson(df: DataFrame, x: str, y: str, *by: str) -> DataFrame:
     """0 where a side is constant."""
-    ok = (F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0)
-    return df.groupBy(*by).agg(F.coalesce(F.when(ok, F.corr(x, y)), F.lit(0.0)).alias("pearson"))
+    return df.groupBy(*by).agg(correlation(x, y).alias("pearson"))
 
 
 def linear_fit(df: DataFrame, x: str, y: str, *by: str) -> DataFrame:

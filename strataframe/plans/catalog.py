@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataframe.functions import fuzzy
 from strataframe.functions import geometry as G
 from strataframe.functions import parse as P
 from strataframe.functions import text as T
-from strataframe.operators import matching, metrics, sequence
+from strataframe.operators import classify, layout, matching, metrics, sequence
 from strataframe.operators.graph import connected_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -397,3 +398,91 @@ def relational_core(spark, sf):
     li, o, c, n, r = (read(spark, sf, t) for t in ("lineitem", "orders", "customer", "nation", "region"))
     j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
     return j.groupBy("r_name", "n_name").agg(F.countDistinct("o_orderkey").alias("orders"), F.round(F.sum(F.expr("l_extendedprice * (1 - l_discount)")), 2).alias("revenue"))
+
+
+@query(None)
+def merged_segments(spark, sf):
+    """The boxes' diagonals, merged a page."""
+
+    def fold(rows):
+        merged = layout.merge_segments([(r["x0"], r["y0"], r["x1"], r["y1"]) for r in rows])
+        return [{"page": rows[0]["page"], "seg": i, "x0": s[0], "y0": s[1], "x1": s[2], "y1": s[3]} for i, s in enumerate(merged)]
+
+    return sequence.grouped(boxes(spark, sf), ["page"], ["id"], fold, "page bigint, seg bigint, x0 double, y0 double, x1 double, y1 double")
+
+
+@query(None)
+def interval_hierarchy(spark, sf):
+    """H6: parents and sublayers among an order's depth ranges."""
+
+    def fold(rows):
+        kinds = layout.interval_hierarchy([(r["s"], r["e"]) for r in rows])
+        return [{"page": r["page"], "id": r["id"], "kind": k} for r, k in zip(rows, kinds)]
+
+    d = items(spark, sf).selectExpr("l_orderkey as page", "pos as id", "cast(l_suppkey % 20 as double) as s", "l_suppkey % 20 + l_quantity as e")
+    return sequence.grouped(d, ["page"], ["id"], fold, "page bigint, id bigint, kind string")
+
+
+@query(f"""with i as (select l_orderkey as page, pos, l_quantity as v, lag(l_quantity) over (partition by l_orderkey order by pos) as before from {ITEMS_SQL})
+select page, count(*)::bigint as n, count(*) >= 3 and bool_and(before is null or v > before) and round(case when stddev_pop(v) > 0 and stddev_pop(pos) > 0 then corr(pos, v) else 0 end, 9) > 0.95 as valid from i group by page""")
+def column_validity(spark, sf):
+    """at least three entries, rising, correlated with their position."""
+    w = F.expr("lag(l_quantity) over (partition by l_orderkey order by pos)")
+    d = items(spark, sf).withColumn("before", w)
+    rising = F.bool_and(F.col("before").isNull() | (F.col("l_quantity") > F.col("before")))
+    valid = (F.count("*") >= 3) & rising & (F.round(metrics.correlation("pos", "l_quantity"), 9) > 0.95)
+    return d.groupBy(F.col("l_orderkey").alias("page")).agg(F.count("*").alias("n"), valid.alias("valid"))
+
+
+@query(None)
+def stemmed_usage(spark, sf):
+    """How often each stem is met; distinct words are stemmed once each."""
+    words = read(spark, sf, "documents").select(F.explode(T.tokenize(F.lower("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return words.select(fuzzy.stems(F.array("word"))[0].alias("stem"), "n").groupBy("stem").agg(F.sum("n").alias("n"))
+
+
+@query(None)
+def fuzzy_keys(spark, sf):
+    """Distinct brand names against misspelt keys."""
+    return read(spark, sf, "part").select("p_brand").distinct().select("p_brand", fuzzy.fuzzy_key("p_brand", ["Brant", "Barnd"]).alias("key"))
+
+
+@query(None)
+def detected_language(spark, sf):
+    """Majority over word windows."""
+    return read(spark, sf, "documents").filter("text is not null").select("doc_id", T.detect_language("text", LANGUAGES).alias("language"))
+
+
+PATTERNS = {"river": [["the", "river"]], "house": [["house"], ["maison"]]}
+
+
+@query(None)
+def baseline_classes(spark, sf):
+    """Z1, T15, O9."""
+    d = read(spark, sf, "documents").select("doc_id", "text")
+    return classify.make("baseline", patterns=PATTERNS, default="none")(d).select("doc_id", "prediction_class")
+
+
+@query(None)
+def stitched_pages(spark, sf):
+    """A conversation's turns as layers, three a page."""
+    c = read(spark, sf, "conversations").filter("conv_id is not null and turn is not null")
+    d = c.selectExpr("conv_id", "turn div 3 as page", "turn as pos", "cast(turn as double) as start", "cast(turn + 1 as double) as end", "text")
+    return matching.stitch_pages(d, "conv_id")
+
+
+@query("select doc_id, source, case when n_chars > 400 then 'a' when n_chars > 100 then 'b' else 'c' end as priority from (select *, dense_rank() over (partition by source order by case when n_chars > 400 then 1 when n_chars > 100 then 2 else 3 end) as r from documents) where r = 1")
+def first_alternative(spark, sf):
+    """Of each source, the rows of the best alternative that has any."""
+    p = F.expr("case when n_chars > 400 then 'a' when n_chars > 100 then 'b' else 'c' end")
+    d = read(spark, sf, "documents").withColumn("priority", p)
+    best = d.groupBy("source").agg(F.min("priority").alias("priority"))
+    return d.join(best, ["source", "priority"], "left_semi").select("doc_id", "source", "priority")
+
+
+@query("select o_orderkey, o_custkey from orders o where (select count(*) from orders p where p.o_custkey = o.o_custkey) = 1 or not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R')")
+def guarded_anti_join(spark, sf):
+    """Rows with a match go, but only where their group has more than one."""
+    o = read(spark, sf, "orders").select("o_orderkey", "o_custkey").withColumn("n", F.expr("count(*) over (partition by o_custkey)"))
+    hit = read(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("hit", F.lit(True))
+    return o.join(hit, "o_orderkey", "left").filter("n = 1 or hit is null").select("o_orderkey", "o_custkey")
