@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Rows of one Arrow batch are worked on in runs of about this many bytes of text, so memory follows this bound and not the batch; a single longer text forms its own run.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
