@@ -95,7 +95,7 @@ def valid_coordinates(east: Column, north: Column) -> Column:
 
 def depth_entry(c: Column | str) -> Column:
     """``struct(value, has_decimal)`` of a word that is a number with an optional unit, else null."""
-    p = r"^-?\.?([0-9]+(?:[.,][0-9]+)?)\s?[müMN\]\.]*$"
+    p = r"^-?[.]?(\d+(?:[.,]\d+)?)\s?[müMN\].]*$"
     digits = F.regexp_extract(_col(c), p, 1)
     value = F.abs(F.replace(digits, F.lit(","), F.lit(".")).try_cast("double"))
     return F.when(digits != "", F.struct(value.alias("value"), F.regexp_like(digits, F.lit("[.,]")).alias("has_decimal")))

@@ -44,14 +44,14 @@ def normalize_spaces(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
 
 
-def match_keyword(c: Column | str, keywords: list[str], start: bool = False, end: bool = False, ignore_case: bool = False, digit: bool = False) -> Column:
+def match_keyword(c: Column | str, keywords: list[str], prefix: bool = False, suffix: bool = False, any_case: bool = False, digit: bool = False) -> Column:
     """T5: the first word that holds a keyword (begins with it, ends with it, is followed by a number), or null."""
     if not keywords:
         return F.lit(None).cast("string")
-    head, tail = "" if start else r"\w*", "" if end else r"\w*"
+    head, tail = "" if prefix else r"\w*", "" if suffix else r"\w*"
     number = r"(?:\ ?\d+)" if digit else ""
     body = "|".join(_quote([k]) + number for k in keywords)
-    return F.nullif(F.regexp_extract(_col(c), f"({'?iuU' if ignore_case else '?U'})\\b{head}(?:{body}){tail}\\b", 0), F.lit(""))
+    return F.nullif(F.regexp_extract(_col(c), f"({'?iuU' if any_case else '?U'})\\b{head}(?:{body}){tail}\\b", 0), F.lit(""))
 
 
 def remove_keywords(c: Column | str, keywords: list[str] | None) -> Column:

@@ -36,7 +36,7 @@ def symbol_pairs(segments: DataFrame, texts: DataFrame, hits: DataFrame, page: s
     return clear.select(page, F.col("h_id").alias("hit"), F.col("t_id").alias("top"), F.col("b_id").alias("bottom"))
 
 
-def has_text(sections: DataFrame, texts: DataFrame, tau: float = 5.0, penalty: float = 1.0, threshold: float = 0.1) -> DataFrame:
+def has_text(sections: DataFrame, texts: DataFrame, threshold: float = 0.1, penalty: float = 1.0, tau: float = 5.0) -> DataFrame:
     """adds ``is_text`` to sections (``page, id`` and a box): covered by much or long text, texts of scan noise aside."""
     real = texts.filter(~F.col("text").rlike(NOISE)).select("page", "text", "x0", "y0", "x1", "y1")
     j = range_join(sections.select("page", "id", "x0", "y0", "x1", "y1"), real, ["page"])
