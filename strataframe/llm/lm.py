@@ -5,8 +5,11 @@ after it: the four neighbours' position-specific embeddings are added, squashed,
 fed to a two-level softmax (class, then word within the class). A document's score
 is the sum of its words' conditional log-probabilities.
 
-The vocabulary comes from exact counts over all documents; rarer words share
-hashed buckets. Training is numpy gradient descent (Adagrad) over all documents in
+The vocabulary comes from exact counts over all documents: every word that makes up
+at least ``WORD_SHARE`` of all words has an id of its own, and the numbers of classes
+and members follow. The network predicts the hashed bucket of a rarer word; the word's
+probability is the bucket's times the word's share of the bucket's counts, joined from
+the counts of all words, so the probabilities of all words sum to one. Training is numpy gradient descent (Adagrad) over all documents in
 ``ROUNDS`` rounds of parallel local passes: each partition starts from the common
 weights, passes over its documents with every ``MASK``-th position masked as a target
 (another residue each round), and the partitions' weights are averaged by their
@@ -20,6 +23,7 @@ an empty table trains nothing and scores nothing; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -32,8 +36,9 @@ from pyspark.sql import functions as F
 from strataframe.llm.text import Words, column, remap, runs, segment_sum, tokenize
 from strataframe.plans.runtime import materialize, pick
 
-CLASSES = MEMBERS = 64
+CLASSES = MEMBERS = 64  # at least; more words make more of both
 VOCABULARY = CLASSES * MEMBERS
+WORD_SHARE = 1e-5
 SPECIAL = MEMBERS  # class 0: the id 0 stands outside a document, the others are buckets of rare words
 HIDDEN = 32
 REACH = 2
@@ -47,28 +52,31 @@ OUTER = " \t.,;:!?\"'()[]{}<>|*#$%&/\\-_=+~^`"
 
 
 class Net(NamedTuple):
-    context: np.ndarray  # 2 * REACH x VOCABULARY x HIDDEN
+    context: np.ndarray  # 2 * REACH x (classes * members) x HIDDEN
     bias: np.ndarray  # HIDDEN
-    classes: np.ndarray  # HIDDEN x CLASSES
+    classes: np.ndarray  # HIDDEN x classes
     class_bias: np.ndarray
-    members: np.ndarray  # CLASSES x HIDDEN x MEMBERS
-    member_bias: np.ndarray  # CLASSES x MEMBERS
+    members: np.ndarray  # classes x HIDDEN x members
+    member_bias: np.ndarray  # classes x members
 
 
 def initial(counts: list[int], total: int) -> Net:
     """Small random weights, and biases that give the words' frequencies: ``counts`` of the vocabulary, most frequent first."""
     rng = np.random.default_rng(7)
-    n = np.full(VOCABULARY, 0.5)
+    size = SPECIAL + len(counts)
+    members = max(MEMBERS, math.isqrt(size - 1) + 1)
+    classes = max(CLASSES, -(-size // members))
+    n = np.full(classes * members, 0.5)
     n[SPECIAL : SPECIAL + len(counts)] += counts
     n[1:SPECIAL] += max(0, total - sum(counts)) / (SPECIAL - 1)
-    n = n.reshape(CLASSES, MEMBERS)
+    n = n.reshape(classes, members)
     f = np.float32
     return Net(
-        rng.normal(0, 0.1, (2 * REACH, VOCABULARY, HIDDEN)).astype(f),
+        rng.normal(0, 0.1, (2 * REACH, classes * members, HIDDEN)).astype(f),
         np.zeros(HIDDEN, f),
-        rng.normal(0, 0.1, (HIDDEN, CLASSES)).astype(f),
+        rng.normal(0, 0.1, (HIDDEN, classes)).astype(f),
         np.log(n.sum(1) / n.sum()).astype(f),
-        rng.normal(0, 0.1, (CLASSES, HIDDEN, MEMBERS)).astype(f),
+        rng.normal(0, 0.1, (classes, HIDDEN, members)).astype(f),
         np.log(n / n.sum(1, keepdims=True)).astype(f),
     )
 
@@ -78,19 +86,26 @@ def _words(texts: pa.Array) -> Words:
     return remap(w, [x.strip(OUTER) for x in w.words])
 
 
-def token_ids(texts: pa.Array, index: dict[str, int]) -> pa.Array:
-    """The 16-bit word ids of each text as bytes."""
+def token_ids(texts: pa.Array, index: dict[str, int]) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """The 32-bit word ids of each text as bytes, and the distinct words of each text that only have a bucket, with their times."""
     w = _words(texts)
-    to = np.fromiter((index.get(x) or 1 + zlib.crc32(x.encode()) % (SPECIAL - 1) for x in w.words), np.uint16, len(w.words))
+    to = np.fromiter((index.get(x) or 1 + zlib.crc32(x.encode()) % (SPECIAL - 1) for x in w.words), np.uint32, len(w.words))
     raw = to[w.ids].tobytes() if len(w.ids) else b""
-    return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((2 * w.offsets).astype(np.int32)), pa.py_buffer(raw)])
+    ids = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((4 * w.offsets).astype(np.int32)), pa.py_buffer(raw)])
+    rare = np.flatnonzero(to[w.ids] < SPECIAL) if len(w.ids) else np.zeros(0, np.int64)
+    k = max(1, len(w.words))
+    doc = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(w.offsets))
+    pairs, times = np.unique(doc[rare] * k + w.ids[rare], return_counts=True)
+    cuts = pa.array(np.searchsorted(pairs, np.arange(len(texts) + 1) * k).astype(np.int32))
+    words = pa.array(w.words, pa.string()).take(pa.array(pairs % k))
+    return ids, pa.ListArray.from_arrays(cuts, words), pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64)))
 
 
 def padded(coded: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All ids with ``REACH`` zeros before, between and after the texts; the places of the words; the number of words a text."""
     ends = np.frombuffer(coded.buffers()[1], np.int32)[coded.offset : coded.offset + len(coded) + 1].astype(np.int64)
-    ids = np.frombuffer(coded.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(np.uint16)
-    n = np.diff(ends) // 2
+    ids = np.frombuffer(coded.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(np.uint32)
+    n = np.diff(ends) // 4
     at = np.arange(len(ids)) + REACH * (1 + np.repeat(np.arange(len(n)), n))
     out = np.zeros(len(ids) + REACH * (len(n) + 1), np.int64)
     out[at] = ids
@@ -117,17 +132,18 @@ def _log_softmax_at(x: np.ndarray, target: np.ndarray) -> np.ndarray:
 def log_probabilities(net: Net, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Of the words at ``at``, each given its neighbours."""
     out = np.empty(len(at), np.float32)
+    classes, _, members = net.members.shape
     for a in range(0, len(at), 1 << 16):
         here = at[a : a + (1 << 16)]
         here = here[np.argsort(ids[here], kind="stable")]
         word = ids[here]
         h = hidden(net, ids, here)
-        got = _log_softmax_at(h @ net.classes + net.class_bias, word // MEMBERS)
-        cuts = np.searchsorted(word, np.arange(CLASSES + 1) * MEMBERS)
-        for c in range(CLASSES):
+        got = _log_softmax_at(h @ net.classes + net.class_bias, word // members)
+        cuts = np.searchsorted(word, np.arange(classes + 1) * members)
+        for c in range(classes):
             i, j = cuts[c], cuts[c + 1]
             if j > i:
-                got[i:j] += _log_softmax_at(h[i:j] @ net.members[c] + net.member_bias[c], word[i:j] - c * MEMBERS)
+                got[i:j] += _log_softmax_at(h[i:j] @ net.members[c] + net.member_bias[c], word[i:j] - c * members)
         back = np.empty(len(here), np.int64)
         back[np.argsort(ids[at[a : a + (1 << 16)]], kind="stable")] = np.arange(len(here))
         out[a : a + len(here)] = got[back]
@@ -150,22 +166,23 @@ class Trainer:
     def batch(self, ids: np.ndarray, at: np.ndarray) -> None:
         at = at[np.argsort(ids[at], kind="stable")]
         word, net, n = ids[at], self.net, len(at)
+        classes, _, members = net.members.shape
         h = hidden(net, ids, at)
         p = h @ net.classes + net.class_bias
         p = np.exp(p - p.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        p[np.arange(n), word // MEMBERS] -= 1
+        p[np.arange(n), word // members] -= 1
         dh = p @ net.classes.T
         g_classes, g_class_bias = h.T @ p, p.sum(0)
-        cuts = np.searchsorted(word, np.arange(CLASSES + 1) * MEMBERS)
-        for c in range(CLASSES):
+        cuts = np.searchsorted(word, np.arange(classes + 1) * members)
+        for c in range(classes):
             i, j = cuts[c], cuts[c + 1]
             if j == i:
                 continue
             q = h[i:j] @ net.members[c] + net.member_bias[c]
             q = np.exp(q - q.max(1, keepdims=True))
             q /= q.sum(1, keepdims=True)
-            q[np.arange(j - i), word[i:j] - c * MEMBERS] -= 1
+            q[np.arange(j - i), word[i:j] - c * members] -= 1
             dh[i:j] += q @ net.members[c].T
             self._step("members", h[i:j].T @ q, c)
             self._step("member_bias", q.sum(0), c)
@@ -211,13 +228,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(w.words, pa.string()), pa.array(np.bincount(w.ids, minlength=len(w.words)).astype(np.int64))], names=["word", "n"])
 
 
-def vocabulary(docs: DataFrame) -> tuple[list[tuple[str, int]], int]:
-    """The most frequent words with their counts over all documents, and the number of all words."""
+def vocabulary(docs: DataFrame) -> tuple[list[tuple[str, int]], int, DataFrame]:
+    """The words of at least ``WORD_SHARE``, most frequent first, with their counts over all documents; the number of all words; the counts of all words."""
     words = pick(docs, text="string").filter("text is not null").mapInArrow(_count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     words = materialize(words, "words")
     total = words.agg(F.sum("n")).first()[0] or 0
-    top = words.orderBy(F.desc("n"), "word").limit(VOCABULARY - SPECIAL).collect()
-    return [(r["word"], r["n"]) for r in top], total
+    own = words.filter(F.col("n") >= WORD_SHARE * total).orderBy(F.desc("n"), "word").collect()  # at most 1 / WORD_SHARE
+    return [(r["word"], r["n"]) for r in own], total, words
+
+
+def rare_words(words: DataFrame, total: int) -> DataFrame:
+    """``(word, log_share)``: the logarithm of each rarer word's share of its bucket's counts."""
+    bucket = F.crc32(F.encode("word", "utf-8")) % (SPECIAL - 1)
+    rare = words.filter(F.col("n") < WORD_SHARE * total).withColumn("bucket", bucket)
+    sums = rare.groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    of = F.create_map(*[F.lit(x) for r in sums for x in (r["bucket"], r["n"])])[F.col("bucket")] if sums else F.lit(1)
+    return rare.select("word", F.log(F.col("n") / of).alias("log_share"))
 
 
 def _mean(key, table):
@@ -232,15 +258,16 @@ SCHEMA = "block int, part bigint, n bigint, weights binary"
 
 
 def encode(docs: DataFrame, index: dict[str, int]) -> DataFrame:
-    """``(doc_id, ids)`` of every row, written once to the shared folder for the training rounds and the scoring."""
+    """``(row, doc_id, ids, rare, times)`` of every row, written once to the shared folder for the training rounds and the scoring; ``row`` is unique."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in runs(whole, "text"):
-                yield pa.RecordBatch.from_arrays([column(b, "doc_id"), token_ids(column(b, "text"), shared.value)], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([column(b, "row"), column(b, "doc_id"), *token_ids(column(b, "text"), shared.value)], names=["row", "doc_id", "ids", "rare", "times"])
 
-    return materialize(pick(docs, doc_id="bigint", text="string").mapInArrow(run, "doc_id bigint, ids binary"), "ids")
+    d = pick(docs, doc_id="bigint", text="string").withColumn("row", F.monotonically_increasing_id())
+    return materialize(d.mapInArrow(run, "row bigint, doc_id bigint, ids binary, rare array<string>, times array<bigint>"), "ids")
 
 
 def train(coded: DataFrame, words: list[tuple[str, int]], total: int) -> Net:
@@ -282,9 +309,9 @@ def train(coded: DataFrame, words: list[tuple[str, int]], total: int) -> Net:
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_tokens, log_prob, mean_log_prob)`` for every row, by a network trained on all of them."""
-    words, total = vocabulary(docs)
-    coded = encode(docs, {w: SPECIAL + i for i, (w, _) in enumerate(words)})
-    shared = docs.sparkSession.sparkContext.broadcast(train(coded, words, total))
+    own, total, words = vocabulary(docs)
+    coded = encode(docs, {w: SPECIAL + i for i, (w, _) in enumerate(own)})
+    shared = docs.sparkSession.sparkContext.broadcast(train(coded, own, total))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
@@ -292,13 +319,14 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
             for b in runs(whole, "ids"):
                 ids, at, n = padded(column(b, "ids"))
                 sums = segment_sum(log_probabilities(net, ids, at), np.r_[0, np.cumsum(n)])
-                mean = np.divide(sums, n, out=np.full(len(n), np.nan), where=n > 0)
-                yield pa.RecordBatch.from_arrays(
-                    [column(b, "doc_id"), pa.array(n.astype(np.int64)), pa.array(sums.round(3)), pa.array(mean.round(6), mask=n == 0)],
-                    names=["doc_id", "n_tokens", "log_prob", "mean_log_prob"],
-                )
-
-    return coded.mapInArrow(score, "doc_id bigint, n_tokens bigint, log_prob double, mean_log_prob double")
+                yield pa.RecordBatch.from_arrays([column(b, "row"), column(b, "doc_id"), pa.array(n.astype(np.int64)), pa.array(sums)], names=["row", "doc_id", "n_tokens", "s"])
+
+    scores = coded.select("row", "doc_id", "ids").mapInArrow(score, "row bigint, doc_id bigint, n_tokens bigint, s double")
+    each = coded.selectExpr("row", "inline(arrays_zip(rare, times))").withColumnRenamed("rare", "word")
+    within = each.join(rare_words(words, total), "word").groupBy("row").agg(F.sum(F.col("times") * F.col("log_share")).alias("r"))
+    log_prob = F.col("s") + F.coalesce("r", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, F.round(log_prob / F.col("n_tokens"), 6))
+    return scores.join(within, "row", "left").select("doc_id", "n_tokens", F.round(log_prob, 3).alias("log_prob"), mean.alias("mean_log_prob"))
 
 
 def op4_lm_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

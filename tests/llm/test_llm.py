@@ -174,6 +174,21 @@ def test_lm_scores(spark):
     assert lm.pseudo_likelihood(empty(spark)).count() == 0
 
 
+def test_lm_tells_rare_words_apart(spark, monkeypatch):
+    import zlib
+
+    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(5000)), "en", "s")], DOCS)
+    assert len(lm.vocabulary(df)[0]) == 5000  # every word over the share has an id
+    monkeypatch.setattr(lm, "WORD_SHARE", 0.01)
+    bucket: dict[int, list[str]] = {}
+    for i in range(500):
+        bucket.setdefault(zlib.crc32(f"w{i}".encode()) % (lm.SPECIAL - 1), []).append(f"w{i}")
+    a, b, *_ = next(x for x in bucket.values() if len(x) > 1)
+    rows = [(i, "common " * 50, "en", "s") for i in range(20)] + [(50, a, "en", "s"), (51, a, "en", "s"), (52, a, "en", "s"), (53, b, "en", "s"), (None, f"{a} {a}", "en", "s")]
+    by = {r.doc_id: r for r in lm.pseudo_likelihood(spark.createDataFrame(rows, DOCS)).collect()}
+    assert by[50].log_prob == by[51].log_prob and by[50].log_prob - by[53].log_prob == pytest.approx(np.log(5), abs=2e-3)
+
+
 def test_lm_is_a_distribution():
     net = lm.initial([5, 3, 1], 20)
     ids = np.array([0, 0, 70, 65, 66, 0, 0])
