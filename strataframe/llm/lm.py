@@ -11,8 +11,9 @@ and members follow. The network predicts the hashed bucket of a rarer word; the
 probability is the bucket's times the word's share of the bucket's counts, joined from
 the counts of all words, so the probabilities of all words sum to one. Training is numpy gradient descent (Adagrad) over all documents in
 ``ROUNDS`` rounds of parallel local passes: each partition starts from the common
-weights, passes over its documents with every ``MASK``-th position masked as a target
-(another residue each round), and the partitions' weights are averaged by their
+weights, passes over its documents with every ``MASK``-th position masked as a target,
+one residue after another (a round has every ``ROUNDS``-th residue, so each word of the
+corpus is a target in exactly one round), and the partitions' weights are averaged by their
 numbers of targets, in a tree of ``FAN_IN`` at a time. Nothing is sampled or capped,
 and what is gathered (word counts, weights a partition) grows with the input.
 
@@ -208,6 +209,11 @@ class Trainer:
             if len(mine[i::k]):
                 self.batch(ids, mine[i::k])
 
+    def round(self, ids: np.ndarray, at: np.ndarray, r: int) -> None:
+        """Every ``ROUNDS``-th residue from ``r`` on: over all rounds each word is a target once."""
+        for residue in range(r, MASK, ROUNDS):
+            self.pass_over(ids, at, residue)
+
 
 def pack(net: Net) -> np.ndarray:
     return np.concatenate([x.ravel() for x in net])
@@ -286,7 +292,7 @@ def train(coded: DataFrame, words: list[tuple[str, int]], total: int) -> Net:
             for whole in batches:
                 for b in runs(whole, "ids"):
                     ids, at, _ = padded(column(b, "ids"))
-                    trainer.pass_over(ids, at, r * (MASK // ROUNDS))
+                    trainer.round(ids, at, r)
             flat = pack(trainer.net)
             blocks = [flat[i : i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)] if trainer.targets else []
             k, part = len(blocks), TaskContext.get().partitionId()

@@ -189,6 +189,16 @@ def test_lm_tells_rare_words_apart(spark, monkeypatch):
     assert by[50].log_prob == by[51].log_prob and by[50].log_prob - by[53].log_prob == pytest.approx(np.log(5), abs=2e-3)
 
 
+def test_lm_trains_on_every_word():
+    texts = pa.array([f"t{i}" for i in range(100)] + ["two words", None, ""], pa.string())
+    ids, at, _ = lm.padded(lm.token_ids(texts, {f"t{i}": lm.SPECIAL + i for i in range(100)})[0])
+    trainer, seen = lm.Trainer(lm.initial([1] * 100, 102), lm.RATE[0]), []
+    trainer.batch = lambda _, targets: seen.extend(targets.tolist())
+    for r in range(lm.ROUNDS):
+        trainer.round(ids, at, r)
+    assert sorted(seen) == at.tolist()  # each once
+
+
 def test_lm_is_a_distribution():
     net = lm.initial([5, 3, 1], 20)
     ids = np.array([0, 0, 70, 65, 66, 0, 0])
