@@ -82,7 +82,8 @@ def estimate(patterns: list[tuple[tuple[int | None, ...], int]]) -> tuple[float,
     accuracies are smoothed by one right and one wrong vote of weight 0.5, then held
     within ``ON_GOOD`` and ``ON_BAD``: each rule looks for one kind of damage, so it
     seldom accuses a good document and misses most kinds of bad ones. Without these
-    bounds a rare kind of damage is explained away as a noisy rule.
+    bounds a rare kind of damage is explained away as a noisy rule; with them one bad
+    vote is not outvoted, which is all-must-pass (figures in the README).
     """
     if not patterns:
         return 0.5, {}
