@@ -8,7 +8,7 @@ likelihood of its trigrams, or from an "unknown" source that holds all trigrams
 equally likely. Expectation-maximisation estimates the proportions. The first language is
 the likeliest; others are added one at a time, the best first, as long as the
 log-likelihood gains more than ``PENALTY`` times the logarithm of the number of
-words and the language holds at least ``MIN_SHARE``. A document is kept if known
+words; no share is too small. A document is kept if known
 languages make up at least ``KEEP_SHARE`` of it.
 
 Defined cases: a null, empty or wordless text has no languages, no shares and is
@@ -33,7 +33,6 @@ from strataframe.plans.runtime import pick
 SAMPLE_PER_LANGUAGE = 2000
 BITS = 16
 PENALTY = 4.0
-MIN_SHARE = 0.05
 KEEP_SHARE = 0.5
 ITERATIONS = 12
 OUTER = " \t.,;:!?\"'()[]{}<>|*#$%&/\\-_=+~^`0123456789"
@@ -172,7 +171,7 @@ def infer(texts: pa.Array, model: Model) -> tuple[list[list[int]], list[list[flo
                 support[:, j] = 1
                 p, v = _mixture(like[rows], support, s_doc, s_start, n[active][t])
                 v += offset[t]
-                up = (v > gain[t]) & (p[:, j] >= MIN_SHARE)
+                up = v > gain[t]
                 gain[t[up]], at[t[up]], gain_pi[t[up]] = v[up], j, p[up]
             won = (at >= 0) & (gain - value[active] > bar[active])
             keep = won[doc]

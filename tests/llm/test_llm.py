@@ -294,6 +294,20 @@ def test_language_mixture(spark):
     assert {i for i, *_ in train} | {500} <= kept and 501 not in kept and 901 not in kept
 
 
+def test_language_of_a_small_share():
+    rng = random.Random(11)
+    train = {lang: " ".join(rng.choice(own) for _ in range(4000)) for lang, own in WORDS.items()}
+    counts = np.full((len(train), 1 << langid.BITS), 0.05)
+    for i, text in enumerate(train.values()):
+        np.add.at(counts[i], langid._trigrams(text.split())[0], 1)
+    model = langid.Model([*train], np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32))
+    passage = " ".join(rng.choice(WORDS["fr"]) for _ in range(200))
+    for n in (2_000, 20_000):  # 9 % and 1 % of the words
+        text = " ".join(rng.choice(WORDS["en"]) for _ in range(n)) + " " + passage
+        languages, shares, *_ = langid.infer(pa.array([text]), model)
+        assert languages == [[0, 2]] and shares[0][1] == pytest.approx(200 / (n + 200), rel=0.3)
+
+
 def test_bpe_round_trip(spark):
     enc = bpe.encoding(bpe.read_ranks())
     rng = random.Random(8)
