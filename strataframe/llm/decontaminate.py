@@ -8,7 +8,9 @@ positions of the hits are mapped back to character offsets of the original.
 Overlapping or adjoining hits of one item are one span.
 
 The patterns are sent to the executors up to ``PATTERN_BYTES``; a larger benchmark is
-split into several automata of that size, one scan each.
+split into several automata of that size, one scan each. All patterns of an item are in
+one automaton (a pattern of several items may be in several, and an item over that size
+has its own), so the split does not change spans.
 
 Defined cases: null, empty or wordless texts and items match nothing; equal items
 each report their own span; repeated document rows each report their spans; an
@@ -85,14 +87,20 @@ def spans(automaton, normal: str, original: str) -> list[tuple[int, int, int]]:
 
 def _benchmark_parts(benchmark: DataFrame) -> list[dict[str, list[int]]]:
     rows = [(r[0], r[1]) for r in pick(benchmark, item_id="bigint", text="string").filter("item_id is not null").toLocalIterator()]
+    of: dict[int, list[str]] = {}
+    for p, ids in sorted(item_patterns(rows).items()) if rows else ():
+        for item in ids:
+            of.setdefault(item, []).append(p)
     parts: list[dict[str, list[int]]] = [{}]
     held = 0
-    for p, ids in sorted(item_patterns(rows).items()) if rows else ():
-        if held + len(p.encode()) > PATTERN_BYTES:
+    for item, mine in sorted(of.items()):
+        more = sum(len(p.encode()) for p in mine if p not in parts[-1])
+        if held and held + more > PATTERN_BYTES:
             parts.append({})
-            held = 0
-        parts[-1][p] = ids
-        held += len(p.encode())
+            held, more = 0, sum(len(p.encode()) for p in mine)
+        for p in mine:
+            parts[-1].setdefault(p, []).append(item)
+        held += more
     return parts
 
 

@@ -269,6 +269,19 @@ def test_decontamination(spark):
     assert decontaminate.contaminated_spans(empty(spark), bench).count() == 0 and decontaminate.contaminated_spans(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_by_parts(spark, monkeypatch):
+    rng = random.Random(10)
+    words = [f"{rng.choice('abcxyz')}{rng.randrange(999)}q" for _ in range(60)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[20:50])), (3, "other short item"), (4, None)], "item_id bigint, text string")
+    df, _ = odd_rows(spark, [(1, "before " + " ".join(words) + " after", "en", "s"), (2, " ".join(words[10:40]) + " other short item", "en", "s"), (3, prose(rng), "en", "s")])
+    find = lambda: sorted(tuple(r) for r in decontaminate.contaminated_spans(df, bench).collect())
+    whole, parts = find(), len(decontaminate._benchmark_parts(bench))
+    monkeypatch.setattr(decontaminate, "PATTERN_BYTES", 300)
+    assert parts == 1 and len(decontaminate._benchmark_parts(bench)) == 3
+    assert find() == whole and len(whole) == 5
+    assert {r[0] for r in decontaminate.keep_clean(df, bench).collect()} == {3, None, 901, 902, 903, 904}
+
+
 def test_html(spark):
     body = " ".join(["A long sentence of real content stands here."] * 6)
     page = f"<html><head><title>t</title><script>var x = 1;</script></head><body><ul><li><a href='#'>Home</a></li><li><a href='#'>About</a></li></ul><p>{body}</p><p>{body}<br>{body}</p><div><a href='#'>Imprint</a> <a href='#'>Terms</a></div></body>"
