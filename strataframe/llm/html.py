@@ -7,9 +7,11 @@ Gaussian of ``SIGMA`` lines and split by two-means threshold clustering; lines o
 upper cluster whose own text is not a list of links are the content.
 
 Defined cases: a null page has null text; an empty or text-free page has empty
-text; a page whose ratios are all alike is content as a whole; unclosed or stray
-tags do not matter, as only tag events count; scripts, styles and the head are no
-text. Repeated rows are each extracted; extra columns are ignored.
+text; a page whose ratios are all alike is content as a whole; scripts, styles and
+the head are no text. Only ``<a href>`` is a link. A link or silent element ends with
+its own end tag or that of the block around it, a link also with the next ``<a>``; of
+those that never get their own end tag, a link ends with its line and a silent element
+is read as text (but for scripts and styles, which the parser reads to the end). Repeated rows are each extracted; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,18 +30,52 @@ SIGMA = 1.0
 BLOCKS = frozenset(
     "address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol option p pre section table tbody td tfoot th thead tr ul".split()
 )
+VOID = frozenset(["br", "hr"])
+#: Elements that an opening tag of the same group ends.
+IMPLIED = {t: g for g in (frozenset(["li"]), frozenset(["dt", "dd"]), frozenset(["option"]), frozenset(["tr"]), frozenset(["td", "th"])) for t in g}
 SILENT = frozenset("script style title noscript template textarea select".split())
 SCHEMA = "page_id bigint, text string, n_lines bigint, n_content_lines bigint"
 
 
-class _Lines(HTMLParser):
-    """Collects (text, tags, linked text length) a line from parser events."""
+class _Events(HTMLParser):
+    """The parser's events, and which opening tags of links and silent elements have their own end tag."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
+        self.events: list[tuple[str, str, bool]] = []
+        self.open: dict[str, list[int]] = {}
+        self.closed: set[int] = set()
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            self.open["a"] = [len(self.events)]  # ends the one before
+        elif tag in SILENT:
+            self.open.setdefault(tag, []).append(len(self.events))
+        self.events.append(("start", tag, tag == "a" and any(k == "href" for k, _ in attrs)))
+
+    def handle_startendtag(self, tag, attrs):
+        self.events.append(("both", tag, False))
+
+    def handle_endtag(self, tag):
+        if self.open.get(tag):
+            self.closed.add(self.open[tag].pop())
+        self.events.append(("end", tag, False))
+
+    def handle_data(self, data):
+        self.events.append(("data", data, False))
+
+
+class _Lines:
+    """Collects (text, tags, linked text length) a line from parser events."""
+
+    def __init__(self) -> None:
         self.lines: list[tuple[str, int, int]] = []
         self.parts: list[str] = []
-        self.tags = self.linked = self.silent = self.links = 0
+        self.tags = self.linked = 0
+        self.blocks: list[str] = []
+        self.count: dict[str, int] = {}
+        self.silent: list[tuple[str, int]] = []  # open silent elements and the number of blocks around each
+        self.link: tuple[int, bool] | None = None  # the number of blocks around the open link, and whether its end tag comes
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -47,31 +83,52 @@ class _Lines(HTMLParser):
             self.lines.append((text, self.tags, self.linked))
         if text or self.parts:
             self.parts, self.tags, self.linked = [], 0, 0
-
-    def handle_starttag(self, tag, attrs):
+            if self.link and not self.link[1]:
+                self.link = None
+
+    def pop(self) -> None:
+        self.count[self.blocks.pop()] -= 1
+        depth = len(self.blocks)
+        while self.silent and self.silent[-1][1] > depth:
+            self.silent.pop()
+        if self.link and self.link[0] > depth:
+            self.link = None
+
+    def start(self, tag: str, href: bool, closed: bool) -> None:
         if tag in BLOCKS:
             self.end_line()
+            if self.silent and self.silent[-1][0] == "select" and tag not in ("option", "hr"):
+                self.silent.pop()  # a select holds no other block
         self.tags += 1
         if tag in SILENT:
-            self.silent += 1
+            if closed:
+                self.silent.append((tag, len(self.blocks)))
         elif tag == "a":
-            self.links += 1
-
-    def handle_startendtag(self, tag, attrs):
-        if tag in BLOCKS:
-            self.end_line()
-        self.tags += 1
-
-    def handle_endtag(self, tag):
+            self.link = (len(self.blocks), closed) if href else None
+        elif tag in BLOCKS and tag not in VOID:
+            if self.blocks and self.blocks[-1] == "p":
+                self.pop()
+            if self.blocks and self.blocks[-1] in IMPLIED.get(tag, ()):
+                self.pop()
+            self.blocks.append(tag)
+            self.count[tag] = self.count.get(tag, 0) + 1
+
+    def end(self, tag: str) -> None:
         self.tags += 1
         if tag in SILENT:
-            self.silent = max(0, self.silent - 1)
+            if any(t == tag for t, _ in self.silent):
+                while self.silent.pop()[0] != tag:
+                    pass
         elif tag == "a":
-            self.links = max(0, self.links - 1)
+            self.link = None
         elif tag in BLOCKS:
             self.end_line()
+            if self.count.get(tag):
+                while self.blocks[-1] != tag:
+                    self.pop()
+                self.pop()
 
-    def handle_data(self, data):
+    def data(self, data: str) -> None:
         if self.silent:
             return
         first, *more = data.split("\n")
@@ -80,15 +137,27 @@ class _Lines(HTMLParser):
                 self.end_line()
             if piece:
                 self.parts.append(piece)
-                self.linked += len(piece) if self.links else 0
+                self.linked += len(piece) if self.link else 0
 
 
 def lines_of(html: str) -> list[tuple[str, int, int]]:
-    p = _Lines()
+    p = _Events()
     p.feed(html)
     p.close()
-    p.end_line()
-    return p.lines
+    out = _Lines()
+    for i, (kind, what, href) in enumerate(p.events):
+        if kind == "data":
+            out.data(what)
+        elif kind == "start":
+            out.start(what, href, i in p.closed)
+        elif kind == "end":
+            out.end(what)
+        else:
+            if what in BLOCKS:
+                out.end_line()
+            out.tags += 1
+    out.end_line()
+    return out.lines
 
 
 def smooth(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:

@@ -293,6 +293,15 @@ def test_html(spark):
     assert html.extract_pages(spark.createDataFrame([], "page_id bigint, html string")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "tag", ["<a href='/x'>Top", "<a name=x>", "<div><a href='/x'>Top</div>", "<a href='/x'><a href='/y'>Top</a>", "<form><select><option>One<option>Two</form>", "<select><option>One", "<noscript><img src=x>", "<div><noscript>No</div><noscript>x</noscript>", "<template>"]
+)
+def test_html_unclosed(tag):
+    body = " ".join(["A long sentence of real content stands here."] * 6)
+    lines = html.lines_of(f"<body>{tag}<p>{body}</p><div>{body}</div></body>")
+    assert [(t, linked) for t, _, linked in lines if t.endswith(body)] == [(body, 0)] * 2
+
+
 def test_language_mixture(spark):
     rng = random.Random(7)
     train = [(i, " ".join(rng.choice(WORDS[lang]) for _ in range(80)), lang, "s") for i, lang in enumerate([*WORDS] * 20)]
