@@ -1,25 +1,30 @@
 """Operator 4: document scores by masked pseudo-likelihood.
 
 A bidirectional window network predicts every word from the two before and the two
-after it: the four neighbours' position-specific embeddings are added, squashed, and
-fed to a two-level softmax (class, then word within the class). A document's score
-is the sum of its words' conditional log-probabilities.
+after it, itself left out: the four neighbours' position-specific embeddings are added,
+squashed, and fed to a two-level softmax (class, then word within the class). A document's
+score is the sum of its words' conditional log-probabilities.
 
 The vocabulary comes from exact counts over all documents: every word that makes up
-at least ``WORD_SHARE`` of all words has an id of its own, and the numbers of classes
-and members follow. The network predicts the hashed bucket of a rarer word; the word's
-probability is the bucket's times the word's share of the bucket's counts, joined from
-the counts of all words, so the probabilities of all words sum to one. Training is numpy gradient descent (Adagrad) over all documents in
-``ROUNDS`` rounds of parallel local passes: each partition starts from the common
-weights, passes over its documents with every ``MASK``-th position masked as a target,
-one residue after another (a round has every ``ROUNDS``-th residue, so each word of the
-corpus is a target in exactly one round), and the partitions' weights are averaged by their
-numbers of targets, in a tree of ``FAN_IN`` at a time. Nothing is sampled or capped,
-and what is gathered (word counts, weights a partition) grows with the input.
+at least ``WORD_SHARE`` of all words has an id of its own. Classes are runs of words by
+frequency; one of words of share p holds about 1 / sqrt(p) of them, which keeps the
+expected number of outputs a word smallest. The network predicts the hashed bucket of a
+rarer word; the word's probability is the bucket's times the word's share of the bucket's
+counts, joined from the counts of all words, so the probabilities of all words sum to one.
+
+Texts are read once: each run of texts is written as the indices of its words into its own
+list of words, and counts, training and scoring read that table. Training is numpy gradient
+descent (Adagrad) over all documents in ``ROUNDS`` rounds of parallel local passes: each
+partition starts from the common weights and passes over its documents, every word of every
+``ROUNDS``-th stretch of ``STRETCH`` words being a target, so each word of the corpus is a
+target in exactly one round; the partitions' weights are averaged by their numbers of
+targets, in a tree of ``FAN_IN`` at a time. Nothing is sampled or capped, and what is
+gathered (word counts, weights a partition) grows with the input.
 
 Defined cases: a null, empty or wordless text has no tokens, a log-probability of
-zero and no mean; equal counts are ordered by word; repeated rows are each scored;
-an empty table trains nothing and scores nothing; extra columns are ignored.
+zero and no mean; a very long text forms a run of its own and is scored whole; equal
+counts are ordered by word; repeated rows are each scored; an empty table trains nothing
+and scores nothing; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,51 +40,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.llm.text import Words, column, remap, runs, segment_sum, tokenize
-from strataframe.plans.runtime import materialize, pick
+from strataframe.plans.runtime import discard, materialize, pick
 
-CLASSES = MEMBERS = 64  # at least; more words make more of both
-VOCABULARY = CLASSES * MEMBERS
 WORD_SHARE = 1e-5
-SPECIAL = MEMBERS  # class 0: the id 0 stands outside a document, the others are buckets of rare words
+SPECIAL = 64  # class 0: the id 0 stands outside a document, the others are buckets of rare words
+LEAST_MEMBERS = 8
 HIDDEN = 32
 REACH = 2
-MASK = 7
 ROUNDS = 2
 RATE = (0.4, 0.2)
-BATCH = 2048
+STRETCH = 256
+BATCH = 32  # stretches
 BLOCK = 1 << 15
 FAN_IN = 64
 OUTER = " \t.,;:!?\"'()[]{}<>|*#$%&/\\-_=+~^`"
 
 
 class Net(NamedTuple):
-    context: np.ndarray  # 2 * REACH x (classes * members) x HIDDEN
+    context: np.ndarray  # words x (2 * REACH * HIDDEN): a word's embedding for each place beside a target
     bias: np.ndarray  # HIDDEN
-    classes: np.ndarray  # HIDDEN x classes
-    class_bias: np.ndarray
-    members: np.ndarray  # classes x HIDDEN x members
-    member_bias: np.ndarray  # classes x members
+    classes: np.ndarray  # classes x (HIDDEN + 1), the last is the bias
+    members: np.ndarray  # words x (HIDDEN + 1)
+    cuts: np.ndarray  # class c has the words cuts[c] to cuts[c + 1]
+
+    @property
+    def class_of(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.cuts) - 1, dtype=np.int16 if len(self.cuts) < 1 << 15 else np.int32), np.diff(self.cuts))
 
 
 def initial(counts: list[int], total: int) -> Net:
     """Small random weights, and biases that give the words' frequencies: ``counts`` of the vocabulary, most frequent first."""
     rng = np.random.default_rng(7)
     size = SPECIAL + len(counts)
-    members = max(MEMBERS, math.isqrt(size - 1) + 1)
-    classes = max(CLASSES, -(-size // members))
-    n = np.full(classes * members, 0.5)
-    n[SPECIAL : SPECIAL + len(counts)] += counts
+    n = np.full(size, 0.5)
+    n[SPECIAL:] += counts
     n[1:SPECIAL] += max(0, total - sum(counts)) / (SPECIAL - 1)
-    n = n.reshape(classes, members)
+    cuts = [0, SPECIAL]
+    while cuts[-1] < size:
+        cuts.append(min(size, cuts[-1] + max(LEAST_MEMBERS, round(math.sqrt(n.sum() / n[cuts[-1]])))))
+    mass = np.add.reduceat(n, cuts[:-1])
     f = np.float32
-    return Net(
-        rng.normal(0, 0.1, (2 * REACH, classes * members, HIDDEN)).astype(f),
-        np.zeros(HIDDEN, f),
-        rng.normal(0, 0.1, (HIDDEN, classes)).astype(f),
-        np.log(n.sum(1) / n.sum()).astype(f),
-        rng.normal(0, 0.1, (classes, HIDDEN, members)).astype(f),
-        np.log(n / n.sum(1, keepdims=True)).astype(f),
-    )
+    classes, members = rng.normal(0, 0.1, (len(mass), HIDDEN + 1)).astype(f), rng.normal(0, 0.1, (size, HIDDEN + 1)).astype(f)
+    classes[:, -1], members[:, -1] = np.log(mass / mass.sum()), np.log(n / np.repeat(mass, np.diff(cuts)))
+    return Net(rng.normal(0, 0.1, (size, 2 * REACH * HIDDEN)).astype(f), np.zeros(HIDDEN, f), classes, members, np.array(cuts))
 
 
 def _words(texts: pa.Array) -> Words:
@@ -87,157 +90,241 @@ def _words(texts: pa.Array) -> Words:
     return remap(w, [x.strip(OUTER) for x in w.words])
 
 
-def token_ids(texts: pa.Array, index: dict[str, int]) -> tuple[pa.Array, pa.Array, pa.Array]:
-    """The 32-bit word ids of each text as bytes, and the distinct words of each text that only have a bucket, with their times."""
-    w = _words(texts)
-    to = np.fromiter((index.get(x) or 1 + zlib.crc32(x.encode()) % (SPECIAL - 1) for x in w.words), np.uint32, len(w.words))
-    raw = to[w.ids].tobytes() if len(w.ids) else b""
-    ids = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((4 * w.offsets).astype(np.int32)), pa.py_buffer(raw)])
-    rare = np.flatnonzero(to[w.ids] < SPECIAL) if len(w.ids) else np.zeros(0, np.int64)
-    k = max(1, len(w.words))
-    doc = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(w.offsets))
-    pairs, times = np.unique(doc[rare] * k + w.ids[rare], return_counts=True)
-    cuts = pa.array(np.searchsorted(pairs, np.arange(len(texts) + 1) * k).astype(np.int32))
-    words = pa.array(w.words, pa.string()).take(pa.array(pairs % k))
-    return ids, pa.ListArray.from_arrays(cuts, words), pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64)))
-
-
-def padded(coded: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All ids with ``REACH`` zeros before, between and after the texts; the places of the words; the number of words a text."""
-    ends = np.frombuffer(coded.buffers()[1], np.int32)[coded.offset : coded.offset + len(coded) + 1].astype(np.int64)
-    ids = np.frombuffer(coded.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(np.uint32)
-    n = np.diff(ends) // 4
+def _bucket(word: str) -> int:
+    return 1 + zlib.crc32(word.encode()) % (SPECIAL - 1)
+
+
+def vocabulary_ids(words: list[str], index: dict[str, int]) -> np.ndarray:
+    """The id of each word: its own, or its bucket's."""
+    return np.fromiter((index.get(x) or _bucket(x) for x in words), np.int32, len(words))
+
+
+def padded(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids with ``REACH`` zeros before, between and after the texts, and the places of the words."""
+    n = np.diff(ends, prepend=0)
     at = np.arange(len(ids)) + REACH * (1 + np.repeat(np.arange(len(n)), n))
-    out = np.zeros(len(ids) + REACH * (len(n) + 1), np.int64)
+    out = np.zeros(len(ids) + REACH * (len(n) + 1), np.int32)
     out[at] = ids
-    return out, at, n
+    return out, at
 
 
-PLACES = [*range(-REACH, 0), *range(1, REACH + 1)]
+def stretches(ids: np.ndarray) -> np.ndarray:
+    """The padded ids as stretches of ``STRETCH`` places, each with its ``REACH`` neighbours on either side."""
+    k = max(1, -(-(len(ids) - 2 * REACH) // STRETCH))
+    room = np.zeros(k * STRETCH + 2 * REACH, np.int32)
+    room[: len(ids)] = ids
+    return np.lib.stride_tricks.as_strided(room, (k, STRETCH + 2 * REACH), (STRETCH * room.itemsize, room.itemsize))
 
 
-def hidden(net: Net, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-    z = net.bias + net.context[0][ids[at + PLACES[0]]]
-    for p in range(1, 2 * REACH):
-        z += net.context[p][ids[at + PLACES[p]]]
-    return np.tanh(z, out=z)
+PLACES = [*range(-REACH, 0), *range(1, REACH + 1)]
+ONES = np.ones(1 << 16, np.float32)
+
+
+def hidden(net: Net, near: np.ndarray) -> np.ndarray:
+    """The states of the stretches' places, and a one for the bias."""
+    s, k = near.shape[0], near.shape[1] - 2 * REACH
+    h = np.empty((s, k, HIDDEN + 1), np.float32 if net.context.dtype == np.float32 else np.float64)
+    h[..., -1] = 1
+    for a in range(0, s, 4):  # a few at a time stay in the cache
+        g = net.context.take(near[a : a + 4], axis=0)
+        z = g[:, REACH + PLACES[0] : REACH + PLACES[0] + k, :HIDDEN] + net.bias
+        for i, p in enumerate(PLACES[1:], 1):
+            z += g[:, REACH + p : REACH + p + k, i * HIDDEN : (i + 1) * HIDDEN]
+        np.tanh(z, out=h[a : a + 4, :, :-1])
+    return h
+
+
+def _small(weights: np.ndarray) -> bool:
+    """Whether no state can give an output whose exponential overflows."""
+    return float(np.abs(weights).sum(1).max()) < 80
+
+
+def _exp(h: np.ndarray, weights: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Softmax numerators and their sums."""
+    x = h @ weights.T
+    if not small:
+        x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    return x, x @ (ONES[: x.shape[1]] if x.shape[1] <= len(ONES) else np.ones(x.shape[1], np.float32))
+
+
+def _log_softmax(h: np.ndarray, weights: np.ndarray, small: bool, target: np.ndarray) -> np.ndarray:
+    """log-probability of each row's target."""
+    x = h @ weights.T
+    if not small:
+        x -= x.max(1, keepdims=True)
+    own = x[np.arange(len(x)), target]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(1))
 
 
-def _log_softmax_at(x: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """log-probability of each row's target; overwrites ``x``."""
-    x -= x.max(1, keepdims=True)
-    own = x[np.arange(len(x)), target]
-    return own - np.log(np.exp(x, out=x).sum(1))
+def _targets(net: Net, class_of: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words among the stretches' places, by class: where, which word, which class, and where each class begins."""
+    word = near[:, REACH:-REACH].ravel()
+    take = np.flatnonzero(word)
+    take = take[np.argsort(class_of[word[take]], kind="stable")]
+    word = word[take]
+    klass = class_of[word]
+    return take, word, klass, np.searchsorted(klass, np.arange(len(net.cuts)))
 
 
 def log_probabilities(net: Net, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Of the words at ``at``, each given its neighbours."""
-    out = np.empty(len(at), np.float32)
-    classes, _, members = net.members.shape
-    for a in range(0, len(at), 1 << 16):
-        here = at[a : a + (1 << 16)]
-        here = here[np.argsort(ids[here], kind="stable")]
-        word = ids[here]
-        h = hidden(net, ids, here)
-        got = _log_softmax_at(h @ net.classes + net.class_bias, word // members)
-        cuts = np.searchsorted(word, np.arange(classes + 1) * members)
-        for c in range(classes):
-            i, j = cuts[c], cuts[c + 1]
-            if j > i:
-                got[i:j] += _log_softmax_at(h[i:j] @ net.members[c] + net.member_bias[c], word[i:j] - c * members)
-        back = np.empty(len(here), np.int64)
-        back[np.argsort(ids[at[a : a + (1 << 16)]], kind="stable")] = np.arange(len(here))
-        out[a : a + len(here)] = got[back]
+    """Of the words at ``at``, all that ``ids`` has, each given its neighbours."""
+    class_of, small = net.class_of, (_small(net.classes), _small(net.members))
+    every = stretches(ids)
+    out = np.zeros(every.shape[0] * STRETCH, np.float32)
+    for a in range(0, len(every), BATCH):
+        near = every[a : a + BATCH]
+        take, word, klass, edges = _targets(net, class_of, near)
+        h = hidden(net, near).reshape(-1, HIDDEN + 1)[take]
+        got = np.empty(len(word), np.float32)
+        for i in range(0, len(word), 2048):
+            got[i : i + 2048] = _log_softmax(h[i : i + 2048], net.classes, small[0], klass[i : i + 2048])
+        for c in np.unique(klass):
+            i, j = edges[c], edges[c + 1]
+            got[i:j] += _log_softmax(h[i:j], net.members[net.cuts[c] : net.cuts[c + 1]], small[1], word[i:j] - net.cuts[c])
+        out[a * STRETCH + take] = got
+    return out[at - REACH]
+
+
+def _row_sums(g: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of ``g[order]`` over the segments that begin at ``first``; segments of one size are added together."""
+    size = np.diff(np.r_[first, len(order)])
+    out = np.empty((len(first), g.shape[1]), g.dtype)
+    for k in range(1, 24):
+        mine = np.flatnonzero(size == k)
+        if len(mine):
+            total = g[order[first[mine]]]
+            for i in range(1, k):
+                total += g[order[first[mine] + i]]
+            out[mine] = total
+    for i in np.flatnonzero(size >= 24):
+        out[i] = g[order[first[i] : first[i] + size[i]]].sum(0)
     return out
 
 
 class Trainer:
-    """Adagrad over masked positions, on the summed loss of batches of ``BATCH``."""
+    """Adagrad on the summed loss of batches of ``BATCH`` stretches."""
 
     def __init__(self, net: Net, rate: float):
         self.net = Net(*[x.copy() for x in net])
-        self.seen = Net(*[np.ones(x.shape, np.float32) for x in net])
+        self.seen = [np.ones_like(x) for x in net[:4]]
+        self.class_of = net.class_of
         self.rate, self.targets = rate, 0
 
-    def _step(self, name: str, grad: np.ndarray, where=...) -> None:
-        acc, par = getattr(self.seen, name), getattr(self.net, name)
-        acc[where] += grad * grad
-        par[where] -= self.rate * grad / np.sqrt(acc[where])
-
-    def batch(self, ids: np.ndarray, at: np.ndarray) -> None:
-        at = at[np.argsort(ids[at], kind="stable")]
-        word, net, n = ids[at], self.net, len(at)
-        classes, _, members = net.members.shape
-        h = hidden(net, ids, at)
-        p = h @ net.classes + net.class_bias
-        p = np.exp(p - p.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(n), word // members] -= 1
-        dh = p @ net.classes.T
-        g_classes, g_class_bias = h.T @ p, p.sum(0)
-        cuts = np.searchsorted(word, np.arange(classes + 1) * members)
-        for c in range(classes):
-            i, j = cuts[c], cuts[c + 1]
-            if j == i:
-                continue
-            q = h[i:j] @ net.members[c] + net.member_bias[c]
-            q = np.exp(q - q.max(1, keepdims=True))
-            q /= q.sum(1, keepdims=True)
-            q[np.arange(j - i), word[i:j] - c * members] -= 1
-            dh[i:j] += q @ net.members[c].T
-            self._step("members", h[i:j].T @ q, c)
-            self._step("member_bias", q.sum(0), c)
-        self._step("classes", g_classes)
-        self._step("class_bias", g_class_bias)
-        dz = dh * (1 - h * h)
-        self._step("bias", dz.sum(0))
-        for k in range(2 * REACH):
-            near = ids[at + PLACES[k]]
-            order = np.argsort(near, kind="stable")
-            rows, first = np.unique(near[order], return_index=True)
-            g = np.add.reduceat(dz[order], first, axis=0)
-            acc, par = self.seen.context[k], self.net.context[k]
-            acc[rows] += g * g
-            par[rows] -= self.rate * g / np.sqrt(acc[rows])
+    def _step(self, part: int, grad: np.ndarray, where=...) -> None:
+        acc, par = self.seen[part], self.net[part]
+        total = acc[where] + grad * grad
+        acc[where] = total
+        np.sqrt(total, out=total)
+        np.divide(grad, total, out=total)
+        total *= self.rate
+        par[where] -= total
+
+    def gradients(self, near: np.ndarray) -> tuple[int, list]:
+        """The number of targets, and the gradient of each part; that of ``context`` with the rows it is of."""
+        net, (s, k) = self.net, (near.shape[0], near.shape[1] - 2 * REACH)
+        take, word, klass, edges = _targets(net, self.class_of, near)
+        n = len(word)
+        h = hidden(net, near).reshape(-1, HIDDEN + 1)[take]
+        small = _small(net.classes), _small(net.members)
+        dh, d_classes, d_members = np.empty_like(h), np.zeros_like(net.classes), np.zeros_like(net.members)
+        for i in range(0, n, 2048):
+            mine = h[i : i + 2048]
+            x, total = _exp(mine, net.classes, small[0])
+            x *= (1 / total)[:, None]
+            x[np.arange(len(x)), klass[i : i + 2048]] -= 1
+            dh[i : i + 2048] = x @ net.classes
+            d_classes += x.T @ mine
+        for c in np.unique(klass):
+            i, j, a, b = edges[c], edges[c + 1], net.cuts[c], net.cuts[c + 1]
+            x, total = _exp(h[i:j], net.members[a:b], small[1])
+            x *= (1 / total)[:, None]
+            x[np.arange(j - i), word[i:j] - a] -= 1
+            dh[i:j] += x @ net.members[a:b]
+            d_members[a:b] = x.T @ h[i:j]
+        dz = dh[:, :-1] * (1 - h[:, :-1] ** 2)
+        placed = np.zeros((s, k, HIDDEN), h.dtype)
+        placed.reshape(-1, HIDDEN)[take] = dz
+        g = np.zeros((s, k + 2 * REACH, 2 * REACH, HIDDEN), h.dtype)
+        for i, p in enumerate(PLACES):
+            g[:, REACH + p : REACH + p + k, i] = placed
+        flat = near.ravel()
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+        return n, [(_row_sums(g.reshape(-1, 2 * REACH * HIDDEN), order, first), flat[first]), dz.sum(0), d_classes, d_members]
+
+    def batch(self, near: np.ndarray) -> None:
+        n, (context, *rest) = self.gradients(near)
+        for part, grad in enumerate(rest, 1):
+            self._step(part, grad)
+        self._step(0, *context)
         self.targets += n
 
-    def pass_over(self, ids: np.ndarray, at: np.ndarray, residue: int) -> None:
-        """Masks every ``MASK``-th word of the run as a target; targets are dealt to batches in strides, so that each batch mixes documents."""
-        mine = at[residue % MASK :: MASK]
-        k = max(1, -(-len(mine) // BATCH))
+    def round(self, ids: np.ndarray, r: int) -> None:
+        """All words of every ``ROUNDS``-th stretch from ``r`` on: over all rounds each word is a target once. A batch takes its stretches from all over the run, so that it mixes documents."""
+        mine = stretches(ids)[r::ROUNDS]
+        k = -(-len(mine) // BATCH)
         for i in range(k):
-            if len(mine[i::k]):
-                self.batch(ids, mine[i::k])
-
-    def round(self, ids: np.ndarray, at: np.ndarray, r: int) -> None:
-        """Every ``ROUNDS``-th residue from ``r`` on: over all rounds each word is a target once."""
-        for residue in range(r, MASK, ROUNDS):
-            self.pass_over(ids, at, residue)
+            self.batch(np.ascontiguousarray(mine[i::k]))
 
 
 def pack(net: Net) -> np.ndarray:
-    return np.concatenate([x.ravel() for x in net])
+    return np.concatenate([x.ravel() for x in net[:4]])
 
 
 def unpack(flat: np.ndarray, like: Net) -> Net:
     out, at = [], 0
-    for x in like:
+    for x in like[:4]:
         out.append(flat[at : at + x.size].reshape(x.shape).astype(np.float32))
         at += x.size
-    return Net(*out)
+    return Net(*out, like.cuts)
+
+
+RUNS = "run bigint, words array<string>, counts array<bigint>, doc_ids array<bigint>, ends array<bigint>, ids binary"
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+
+    number = TaskContext.get().partitionId() << 32
     for whole in batches:
         for b in runs(whole, "text"):
             w = _words(column(b, "text"))
-            yield pa.RecordBatch.from_arrays([pa.array(w.words, pa.string()), pa.array(np.bincount(w.ids, minlength=len(w.words)).astype(np.int64))], names=["word", "n"])
+            counts = np.bincount(w.ids, minlength=len(w.words)).astype(np.int64)
+            one = lambda x, kind: pa.array([x], pa.list_(kind))
+            raw = w.ids.astype(np.uint16 if len(w.words) <= 1 << 16 else np.uint32).tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), one(w.words, pa.string()), one(counts, pa.int64()), one(column(b, "doc_id").to_pylist(), pa.int64()), one(w.offsets[1:], pa.int64()), pa.array([raw], pa.binary())],
+                names=[f.split(" ")[0] for f in RUNS.split(", ")],
+            )
+            number += 1
+
 
+def encode(docs: DataFrame) -> DataFrame:
+    """All texts as runs of word indices, written once to the shared folder."""
+    return materialize(pick(docs, doc_id="bigint", text="string").mapInArrow(_encode, RUNS), "runs")
 
-def vocabulary(docs: DataFrame) -> tuple[list[tuple[str, int]], int, DataFrame]:
+
+class Run(NamedTuple):
+    words: list[str]
+    ids: np.ndarray
+    ends: np.ndarray
+
+
+def _runs(table) -> Iterator[Run]:
+    """The runs of a batch or table, one by one."""
+    words, ends, ids = (table[c] for c in ("words", "ends", "ids"))
+    for i in range(table.num_rows):
+        own, raw = words[i].as_py(), ids[i].as_py()
+        yield Run(own, np.frombuffer(raw, np.uint16 if len(own) <= 1 << 16 else np.uint32).astype(np.int64), np.array(ends[i].as_py(), np.int64))
+
+
+def vocabulary(encoded: DataFrame) -> tuple[list[tuple[str, int]], int, DataFrame]:
     """The words of at least ``WORD_SHARE``, most frequent first, with their counts over all documents; the number of all words; the counts of all words."""
-    words = pick(docs, text="string").filter("text is not null").mapInArrow(_count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    words = materialize(words, "words")
+    each = encoded.selectExpr("inline(arrays_zip(words, counts))").toDF("word", "n")
+    words = materialize(each.groupBy("word").agg(F.sum("n").alias("n")), "words")
     total = words.agg(F.sum("n")).first()[0] or 0
     own = words.filter(F.col("n") >= WORD_SHARE * total).orderBy(F.desc("n"), "word").collect()  # at most 1 / WORD_SHARE
     return [(r["word"], r["n"]) for r in own], total, words
@@ -263,36 +350,23 @@ def _mean(key, table):
 SCHEMA = "block int, part bigint, n bigint, weights binary"
 
 
-def encode(docs: DataFrame, index: dict[str, int]) -> DataFrame:
-    """``(row, doc_id, ids, rare, times)`` of every row, written once to the shared folder for the training rounds and the scoring; ``row`` is unique."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in runs(whole, "text"):
-                yield pa.RecordBatch.from_arrays([column(b, "row"), column(b, "doc_id"), *token_ids(column(b, "text"), shared.value)], names=["row", "doc_id", "ids", "rare", "times"])
-
-    d = pick(docs, doc_id="bigint", text="string").withColumn("row", F.monotonically_increasing_id())
-    return materialize(d.mapInArrow(run, "row bigint, doc_id bigint, ids binary, rare array<string>, times array<bigint>"), "ids")
-
-
-def train(coded: DataFrame, words: list[tuple[str, int]], total: int) -> Net:
-    """The network after ``ROUNDS`` rounds over all of ``coded``."""
-    spark, net = coded.sparkSession, initial([n for _, n in words], total)
-    if not words:
+def train(encoded: DataFrame, index: dict[str, int], net: Net) -> Net:
+    """The network after ``ROUNDS`` rounds over all runs; ``index`` has the words' ids."""
+    spark = encoded.sparkSession
+    if not index:
         return net
-    texts = coded.select("ids")
+    texts = encoded.select("words", "ends", "ids")
+    known = spark.sparkContext.broadcast(index)
     for r in range(ROUNDS):
         shared = spark.sparkContext.broadcast(net)
 
-        def local(batches: Iterator[pa.RecordBatch], r: int = r) -> Iterator[pa.RecordBatch]:
+        def local(batches: Iterator[pa.RecordBatch], r: int = r, shared=shared) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
             trainer = Trainer(shared.value, RATE[r])
-            for whole in batches:
-                for b in runs(whole, "ids"):
-                    ids, at, _ = padded(column(b, "ids"))
-                    trainer.round(ids, at, r)
+            for b in batches:
+                for run in _runs(b):
+                    trainer.round(padded(vocabulary_ids(run.words, known.value)[run.ids], run.ends)[0], r)
             flat = pack(trainer.net)
             blocks = [flat[i : i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)] if trainer.targets else []
             k, part = len(blocks), TaskContext.get().partitionId()
@@ -313,26 +387,43 @@ def train(coded: DataFrame, words: list[tuple[str, int]], total: int) -> Net:
     return net
 
 
+def rare_shares(encoded: DataFrame, index: dict[str, int], rare: DataFrame) -> DataFrame:
+    """``(run, i, log_share)`` of the words of each run that have no id of their own: one row a distinct word, not one a document."""
+    known = encoded.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for number, words in zip(b["run"].to_pylist(), b["words"]):
+                words = words.as_py()
+                at = [i for i, x in enumerate(words) if x not in known.value]
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(at), pa.int64()), pa.array(at, pa.int64()), pa.array([words[i] for i in at], pa.string())], names=["run", "i", "word"])
+
+    return encoded.select("run", "words").mapInArrow(run, "run bigint, i bigint, word string").join(rare, "word").select("run", "i", "log_share")
+
+
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_tokens, log_prob, mean_log_prob)`` for every row, by a network trained on all of them."""
-    own, total, words = vocabulary(docs)
-    coded = encode(docs, {w: SPECIAL + i for i, (w, _) in enumerate(own)})
-    shared = docs.sparkSession.sparkContext.broadcast(train(coded, own, total))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
-        for whole in batches:
-            for b in runs(whole, "ids"):
-                ids, at, n = padded(column(b, "ids"))
-                sums = segment_sum(log_probabilities(net, ids, at), np.r_[0, np.cumsum(n)])
-                yield pa.RecordBatch.from_arrays([column(b, "row"), column(b, "doc_id"), pa.array(n.astype(np.int64)), pa.array(sums)], names=["row", "doc_id", "n_tokens", "s"])
-
-    scores = coded.select("row", "doc_id", "ids").mapInArrow(score, "row bigint, doc_id bigint, n_tokens bigint, s double")
-    each = coded.selectExpr("row", "inline(arrays_zip(rare, times))").withColumnRenamed("rare", "word")
-    within = each.join(rare_words(words, total), "word").groupBy("row").agg(F.sum(F.col("times") * F.col("log_share")).alias("r"))
-    log_prob = F.col("s") + F.coalesce("r", F.lit(0.0))
-    mean = F.when(F.col("n_tokens") > 0, F.round(log_prob / F.col("n_tokens"), 6))
-    return scores.join(within, "row", "left").select("doc_id", "n_tokens", F.round(log_prob, 3).alias("log_prob"), mean.alias("mean_log_prob"))
+    encoded = encode(docs)
+    own, total, words = vocabulary(encoded)
+    index = {w: SPECIAL + i for i, (w, _) in enumerate(own)}
+    sc = docs.sparkSession.sparkContext
+    shared, known = sc.broadcast(train(encoded, index, initial([n for _, n in own], total))), sc.broadcast(index)
+
+    def score(texts: pa.Table, rare: pa.Table) -> pa.Table:
+        run = next(_runs(texts))
+        share = np.zeros(len(run.words))
+        share[rare["i"].to_numpy()] = rare["log_share"].to_numpy()
+        ids, at = padded(vocabulary_ids(run.words, known.value)[run.ids], run.ends)
+        offsets = np.r_[0, run.ends]
+        sums = segment_sum(log_probabilities(shared.value, ids, at) + share[run.ids], offsets)
+        n = np.diff(offsets)
+        mean = pa.array((sums / np.maximum(1, n)).round(6), mask=n == 0)
+        return pa.table({"doc_id": pa.array(texts["doc_ids"][0].as_py(), pa.int64()), "n_tokens": n, "log_prob": sums.round(3), "mean_log_prob": mean})
+
+    shares = materialize(rare_shares(encoded, index, rare_words(words, total)), "shares")
+    discard(words)
+    texts = encoded.select("run", "words", "doc_ids", "ends", "ids")
+    return texts.groupBy("run").cogroup(shares.groupBy("run")).applyInArrow(score, "doc_id bigint, n_tokens bigint, log_prob double, mean_log_prob double")
 
 
 def op4_lm_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -175,38 +175,82 @@ def test_lm_scores(spark):
 
 
 def test_lm_tells_rare_words_apart(spark, monkeypatch):
-    import zlib
-
     df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(5000)), "en", "s")], DOCS)
-    assert len(lm.vocabulary(df)[0]) == 5000  # every word over the share has an id
+    assert len(lm.vocabulary(lm.encode(df))[0]) == 5000  # every word over the share has an id
     monkeypatch.setattr(lm, "WORD_SHARE", 0.01)
     bucket: dict[int, list[str]] = {}
     for i in range(500):
-        bucket.setdefault(zlib.crc32(f"w{i}".encode()) % (lm.SPECIAL - 1), []).append(f"w{i}")
+        bucket.setdefault(lm._bucket(f"w{i}"), []).append(f"w{i}")
     a, b, *_ = next(x for x in bucket.values() if len(x) > 1)
     rows = [(i, "common " * 50, "en", "s") for i in range(20)] + [(50, a, "en", "s"), (51, a, "en", "s"), (52, a, "en", "s"), (53, b, "en", "s"), (None, f"{a} {a}", "en", "s")]
     by = {r.doc_id: r for r in lm.pseudo_likelihood(spark.createDataFrame(rows, DOCS)).collect()}
     assert by[50].log_prob == by[51].log_prob and by[50].log_prob - by[53].log_prob == pytest.approx(np.log(5), abs=2e-3)
 
 
+def lm_run(rng, texts, size=200):
+    ids = np.array([i for n in texts for i in rng.integers(1, lm.SPECIAL + size, n)], np.int32)
+    return lm.padded(ids, np.cumsum(texts))
+
+
 def test_lm_trains_on_every_word():
-    texts = pa.array([f"t{i}" for i in range(100)] + ["two words", None, ""], pa.string())
-    ids, at, _ = lm.padded(lm.token_ids(texts, {f"t{i}": lm.SPECIAL + i for i in range(100)})[0])
-    trainer, seen = lm.Trainer(lm.initial([1] * 100, 102), lm.RATE[0]), []
-    trainer.batch = lambda _, targets: seen.extend(targets.tolist())
+    ids, at = lm_run(np.random.default_rng(1), [1, 2, 0, 700, 3, 5000, 1])
+    trainer, seen = lm.Trainer(lm.initial([1] * 200, 300), lm.RATE[0]), []
+    trainer.batch = lambda near: seen.extend(near[:, lm.REACH : -lm.REACH].ravel().tolist())
+    for r in range(lm.ROUNDS):
+        trainer.round(np.arange(len(ids), dtype=np.int32), r)  # the places themselves as ids
+    assert sorted(i for i in seen if i in set(at.tolist())) == at.tolist()  # each once
+
+
+def lm_brute(net, ids, place):
+    """The log-probability of one word, by the plain formulas in double precision."""
+    h = net.bias.astype(float).copy()
+    for i, p in enumerate(lm.PLACES):
+        h += net.context[ids[place + p], i * lm.HIDDEN : (i + 1) * lm.HIDDEN]
+    h = np.r_[np.tanh(h), 1]
+    c = int(np.searchsorted(net.cuts, ids[place], "right")) - 1
+    one, two = net.classes @ h, net.members[net.cuts[c] : net.cuts[c + 1]] @ h
+    return one[c] - np.log(np.exp(one).sum()) + two[ids[place] - net.cuts[c]] - np.log(np.exp(two).sum())
+
+
+def test_lm_matches_plain_formulas():
+    ids, at = lm_run(np.random.default_rng(2), [3, 0, 900, 1])
+    net = lm.initial(sorted(range(1, 201), reverse=True), 30_000)
+    trainer = lm.Trainer(net, 0.4)
     for r in range(lm.ROUNDS):
-        trainer.round(ids, at, r)
-    assert sorted(seen) == at.tolist()  # each once
+        trainer.round(ids, r)
+    for n in (net, trainer.net, trainer.net._replace(members=trainer.net.members * 90)):  # the last needs the guard against overflow
+        assert lm.log_probabilities(n, ids, at) == pytest.approx([lm_brute(n, ids, i) for i in at], abs=2e-3, rel=1e-4)
+
+
+def test_lm_gradients():
+    ids, at = lm_run(np.random.default_rng(3), [5, 30])
+    net = lm.Net(*[x.astype(np.float64) for x in lm.initial(list(range(200, 0, -1)), 25_000)[:4]], lm.initial(list(range(200, 0, -1)), 25_000).cuts)
+    trainer = lm.Trainer(net, 0.4)
+    _, ((context, rows), *rest) = trainer.gradients(lm.stretches(ids))
+    full = np.zeros_like(net.context)
+    full[rows] = context
+    loss = lambda: -sum(lm_brute(trainer.net, ids, i) for i in at)
+    word = int(ids[at[7]])
+    for part, grad, where in [(0, full, (word, 5)), (0, full, (word, 70)), (1, rest[0], (3,)), (2, rest[1], (1, 4)), (2, rest[1], (0, lm.HIDDEN)), (3, rest[2], (word, 2))]:
+        p, eps = trainer.net[part], 1e-5
+        old = p[where]
+        p[where] = old + eps
+        up = loss()
+        p[where] = old - eps
+        down = loss()
+        p[where] = old
+        assert (up - down) / (2 * eps) == pytest.approx(grad[where], rel=1e-3, abs=1e-5)
 
 
 def test_lm_is_a_distribution():
     net = lm.initial([5, 3, 1], 20)
-    ids = np.array([0, 0, 70, 65, 66, 0, 0])
+    ids = np.array([0, 0, 65, 66, 65, 66, 0, 0], np.int32)
     total = 0.0
-    for w in range(lm.VOCABULARY):
-        ids[3] = w
-        total += np.exp(lm.log_probabilities(net, ids, np.array([3]))[0])
-    assert total == pytest.approx(1, abs=1e-3)
+    for w in range(1, len(net.members)):
+        ids[4] = w
+        total += np.exp(lm.log_probabilities(net, ids, np.arange(2, 6))[2])
+    nothing = np.exp(lm_brute(net, np.r_[ids[:4], 0, ids[5:]], 4))  # the place outside a document, which no word takes
+    assert total + nothing == pytest.approx(1, abs=1e-3)
 
 
 CHAT = "conv_id bigint, turn bigint, role string, text string"
