@@ -1,21 +1,26 @@
 """Operator 6: quality by weak supervision.
 
 Each rule looks at a text and votes bad (0), good (1) or abstains (null). Rules
-with nothing to go on (too few words or lines) abstain. The votes of all
-documents are counted by pattern (at most 3^rules of them, whatever the size of the
-corpus); expectation-maximisation over the patterns estimates the share of good
-documents and, for each rule, how often it is right on good and on bad documents
-(abstentions count as missing). A document's quality is the posterior
-probability that it is good; it is kept from ``THRESHOLD`` on.
+with nothing to go on (too few words or lines) abstain. Two or three rules look for each kind of
+damage, in different ways, so that a damage is vouched for by votes that agree and a rule
+that errs alone is outvoted. The votes of all documents are counted by pattern;
+expectation-maximisation over the patterns estimates the share of good documents and, for
+each rule, how often it is right on good and on bad documents, under weak Beta priors and
+without bounds (abstentions count as missing). A document's quality is the posterior
+probability that it is good; it is kept from ``THRESHOLD`` on. Neither one bad vote nor
+many good ones decide alone.
 
 Defined cases: a null, empty or blank text has no votes, so its quality is the
-prior; it is kept only if the prior says so. Repeated rows count once each. An
+prior; it is kept only if the prior says so. A very long text is counted whole, in
+linear time. A posterior equal to the threshold keeps. Repeated rows count once each. An
 empty table has no result. Extra columns are ignored by the query, carried by
 the stage.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,33 +28,76 @@ from strataframe.plans.runtime import pick
 
 THRESHOLD = 0.5
 ROUNDS = 25
-#: Bounds of a rule's accuracy on good and on bad documents.
-ON_GOOD, ON_BAD = (0.999, 0.99999), (0.1, 0.5)
+#: Votes that every rule is given beforehand: (right, wrong) on good and on bad documents.
+PRIOR_GOOD, PRIOR_BAD = (19.0, 1.0), (1.0, 4.0)
+#: The first guess of a document is bad from so many bad votes on.
+AGREE = 2
 SYMBOLS = "#$%&*|{}<>\\^~=+_@!"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÉÈÊÇÀÂÎÔÛÑÁÍÓÚ"
 
 #: rule -> (SQL value, SQL condition under which it votes, votes bad when the value is over, votes good when it is at most)
 RULES = {
     "symbols": ("symbols / chars", "chars >= 4", 0.06, 0.02),
+    "marked": ("marked / words", "words >= 5", 0.15, 0.05),
+    "letters": ("1 - letters / chars", "chars >= 40", 0.35, 0.25),
     "capitals": ("capitals / chars", "chars >= 4", 0.4, 0.2),
+    "shouted": ("shouted / words", "words >= 5", 0.4, 0.1),
     "repeats": ("repeats / words", "words >= 10", 0.2, 0.05),
+    "returns": ("returns / words", "words >= 10", 0.2, 0.05),
+    "thirds": ("thirds / words", "words >= 10", 0.2, 0.05),
     "tables": ("bars / words", "words >= 10", 0.1, 0.02),
+    "barred": ("barred / lines", "words >= 10", 0.3, 0.05),
     "lines": ("1 - distinct_lines / lines", "lines >= 5", 0.5, 0.2),
+    "line_chars": ("1 - distinct_chars / line_chars", "lines >= 5", 0.5, 0.2),
     "length": ("chars / words", "words >= 5", 14.0, 11.0),
+    "long_words": ("long_words / words", "words >= 5", 0.2, 0.05),
 }
 
-FEATURES = """cast(length(t) as double) as chars,
-cast(length(t) - length(translate(t, '{symbols}', '')) as double) as symbols,
-cast(length(t) - length(translate(t, '{upper}', '')) as double) as capitals,
-cast({size}({repeats}) as double) as repeats,
-cast({size}({bars}) as double) as bars,
-cast({size}(w) as double) as words,
-cast({size}(l) as double) as lines,
-cast({size}({distinct}(l)) as double) as distinct_lines"""
+#: What the rules' values are made of, in Spark SQL and in DuckDB SQL. Words are runs of other characters than blanks, tabs and line ends.
+W = r"[^ \t\n\r]"
+B = r"[ \t\n\r]"
+_CLASS = "[" + SYMBOLS.replace("\\", r"\\").replace("^", r"\^") + "]"
+PATTERNS = {  # matches of a pattern in the text
+    "words": f"{W}+",
+    "marked": f"{_CLASS}{W}*",
+    "shouted": f"[{UPPER}][{UPPER}]{W}*",
+    "long_words": f"{W}" + "{21}" + f"{W}*",
+    "barred": r" \| [^\n]*",
+    "lines": r"[^\n]+",
+    "letters": r"[\p{L}\p{N}]",  # digits as well
+}
+SPARK = {
+    "chars": "length(t)",
+    "symbols": "length(t) - length(translate(t, {symbols}, ''))",
+    "capitals": "length(t) - length(translate(t, {upper}, ''))",
+    "repeats": f"regexp_count(t, r'(?<!{W})({W}++)(?={B}++\\1(?!{W}))')",
+    "returns": f"regexp_count(t, r'(?<!{W})({W}++)(?={B}++{W}++{B}++\\1(?!{W}))')",
+    "thirds": f"regexp_count(t, r'(?<!{W})({W}++)(?={B}++{W}++{B}++{W}++{B}++\\1(?!{W}))')",
+    "bars": f"regexp_count(t, r'(?<!{W})\\|(?!{W})')",
+    "distinct_lines": "size(d)",
+    "line_chars": "length(t) - regexp_count(t, r'\\n')",
+    "distinct_chars": "length(array_join(d, ''))",
+    **{k: f"regexp_count(t, r'{p}')" for k, p in PATTERNS.items()},
+}
+DUCK = {
+    "chars": "length(t)",
+    "symbols": "length(t) - length(translate(t, {symbols}, ''))",
+    "capitals": "length(t) - length(translate(t, {upper}, ''))",
+    "repeats": "len(list_filter(w, lambda x, i: i > 1 and x = w[i - 1]))",
+    "returns": "len(list_filter(w, lambda x, i: i > 2 and x = w[i - 2]))",
+    "thirds": "len(list_filter(w, lambda x, i: i > 3 and x = w[i - 3]))",
+    "bars": "len(list_filter(w, lambda x: x = '|'))",
+    "distinct_lines": "len(list_distinct(l))",
+    "line_chars": "length(array_to_string(l, ''))",
+    "distinct_chars": "length(array_to_string(list_distinct(l), ''))",
+    **{k: f"len(regexp_extract_all(t, '{p}'))" for k, p in PATTERNS.items()},
+}
 
 
-def _within(x: float, bounds: tuple[float, float]) -> float:
-    return max(bounds[0], min(bounds[1], x))
+def _counts(of: dict[str, str], quote) -> dict[str, str]:
+    """Each count as a double."""
+    fill = {"symbols": quote(SYMBOLS), "upper": quote(UPPER)}
+    return {k: f"cast({v.format(**fill) if '{symbols}' in v or '{upper}' in v else v} as double)" for k, v in of.items()}
 
 
 def _vote(rule: str) -> str:
@@ -58,48 +106,36 @@ def _vote(rule: str) -> str:
 
 
 def votes(texts: DataFrame, *keep: str) -> DataFrame:
-    """Columns ``keep`` and one vote column a rule, of a frame with a ``t`` text column; JVM-side expressions only."""
-    features = FEATURES.format(
-        symbols=SYMBOLS.replace("\\", "\\\\"),
-        upper=UPPER,
-        size="size",
-        repeats="filter(w, (x, i) -> i > 0 and x = w[i - 1])",
-        bars="filter(w, x -> x = '|')",
-        distinct="array_distinct",
-    )
+    """Columns ``keep`` and one vote column a rule, of a frame with a ``t`` text column; compiled JVM expressions, no lambda."""
     t = "coalesce(t, '')"
-    words, lines = rf"filter(split({t}, '[ \\t\\n\\r]+'), x -> x <> '')", rf"filter(split({t}, '\\n'), x -> x <> '')"
-    # a generator of one row keeps the optimiser from copying the splits and counts into every use of them
-    split = texts.selectExpr(*keep, f"inline(array(named_struct('t', {t}, 'w', {words}, 'l', {lines})))")
-    counts = ", ".join("'{1}', {0}".format(*x.strip().rsplit(" as ", 1)) for x in features.split(",\n"))
+    # a generator of one row keeps the optimiser from copying the split and the counts into every use of them
+    split = texts.selectExpr(*keep, f"inline(array(named_struct('t', {t}, 'd', array_distinct(array_remove(split({t}, r'\n'), '')))))")
+    counts = ", ".join(f"'{k}', {v}" for k, v in _counts(SPARK, lambda s: f"r'{s}'").items())
     return split.selectExpr(*keep, f"inline(array(named_struct({counts})))").selectExpr(*keep, *[f"{_vote(r)} as {r}" for r in RULES])
 
 
-def estimate(patterns: list[tuple[tuple[int | None, ...], int]]) -> tuple[float, dict[tuple[int | None, ...], float]]:
-    """The prior and each vote pattern's posterior, by ``ROUNDS`` rounds of expectation-maximisation.
+Pattern = tuple[int | None, ...]
+
 
-    The first guess of a pattern is 0.1 if any rule votes bad, else 0.9. A rule's
-    accuracies are smoothed by one right and one wrong vote of weight 0.5, then held
-    within ``ON_GOOD`` and ``ON_BAD``: each rule looks for one kind of damage, so it
-    seldom accuses a good document and misses most kinds of bad ones. Without these
-    bounds a rare kind of damage is explained away as a noisy rule; with them one bad
-    vote is not outvoted, which is all-must-pass (figures in the README).
-    """
+def estimate(patterns: list[tuple[Pattern, int]]) -> tuple[float, list[tuple[float, float]], dict[Pattern, float]]:
+    """The prior, each rule's rates of being right on good and on bad documents, and each vote pattern's posterior, by ``ROUNDS`` rounds of expectation-maximisation."""
     if not patterns:
-        return 0.5, {}
+        return 0.5, [], {}
     rules = range(len(patterns[0][0]))
-    q = {p: 0.1 if 0 in p else 0.9 for p, _ in patterns}
+    q = {p: 0.1 if p.count(0) >= AGREE else 0.9 for p, _ in patterns}
     total = sum(n for _, n in patterns)
-    prior = 0.5
+    prior, right = 0.5, []
     for _ in range(ROUNDS):
         prior = (sum(n * q[p] for p, n in patterns) + 0.5) / (total + 1)
-        right = {}
+        right = []
         for r in rules:
             good = sum(n * q[p] for p, n in patterns if p[r] is not None)
             bad = sum(n * (1 - q[p]) for p, n in patterns if p[r] is not None)
-            right[r] = (
-                _within((sum(n * q[p] for p, n in patterns if p[r] == 1) + 0.5) / (good + 1), ON_GOOD),
-                _within((sum(n * (1 - q[p]) for p, n in patterns if p[r] == 0) + 0.5) / (bad + 1), ON_BAD),
+            right.append(
+                (
+                    (sum(n * q[p] for p, n in patterns if p[r] == 1) + PRIOR_GOOD[0]) / (good + sum(PRIOR_GOOD)),
+                    (sum(n * (1 - q[p]) for p, n in patterns if p[r] == 0) + PRIOR_BAD[0]) / (bad + sum(PRIOR_BAD)),
+                )
             )
         for p, _ in patterns:
             g, b = prior, 1 - prior
@@ -108,20 +144,20 @@ def estimate(patterns: list[tuple[tuple[int | None, ...], int]]) -> tuple[float,
                     g *= right[r][0] if p[r] else 1 - right[r][0]
                     b *= 1 - right[r][1] if p[r] else right[r][1]
             q[p] = g / (g + b)
-    return prior, q
+    return prior, right, q
 
 
 def _posterior(counted: DataFrame) -> Column:
-    """The posterior as an expression of the vote columns: a map over the patterns, whose number the rules bound."""
+    """The posterior as an expression of the vote columns: the sum of the log-odds that each vote gives, whatever the number of patterns."""
     names = list(RULES)
-    rows = counted.groupBy(*names).agg(F.count("*").alias("n")).collect()
-    patterns = sorted(((tuple(r[c] for c in names), r["n"]) for r in rows), key=str)
-    _, q = estimate(patterns)
-    code = F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in names])
-    if not q:
+    rows = counted.groupBy(*names).agg(F.count("*").alias("n")).collect()  # one a pattern of votes that is met
+    prior, right, _ = estimate(sorted(((tuple(r[c] for c in names), r["n"]) for r in rows), key=str))
+    if not right:
         return F.lit(None).cast("double")
-    pairs = [F.lit(x) for p, v in q.items() for x in ("".join("-" if y is None else str(y) for y in p), float(v))]
-    return F.create_map(*pairs)[code]
+    odds = F.lit(math.log(prior / (1 - prior)))
+    for c, (g, b) in zip(names, right):
+        odds = odds + F.when(F.col(c) == 1, math.log(g / (1 - b))).when(F.col(c) == 0, math.log((1 - g) / b)).otherwise(0.0)
+    return 1 / (1 + F.exp(-odds))
 
 
 def quality_scores(docs: DataFrame) -> DataFrame:
@@ -149,25 +185,18 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     names = list(RULES)
-    features = FEATURES.format(
-        symbols=SYMBOLS,
-        upper=UPPER,
-        size="len",
-        repeats="list_filter(w, lambda x, i: i > 1 and x = w[i - 1])",
-        bars="list_filter(w, lambda x: x = '|')",
-        distinct="list_distinct",
-    )
+    features = ", ".join(f"{v} as {k}" for k, v in _counts(DUCK, lambda s: f"'{s}'").items())
     ctes = [
         r"split as (select doc_id, t, list_filter(regexp_split_to_array(t, '[ \t\n\r]+'), lambda x: x <> '') as w, list_filter(string_split(t, chr(10)), lambda x: x <> '') as l from (select doc_id, coalesce(text, '') as t from documents))",
         f"features as (select doc_id, {features} from split)",
-        f"votes as (select doc_id, {', '.join(f'{_vote(r)} as {r}' for r in names)} from features)",
+        f"votes as materialized (select doc_id, {', '.join(f'{_vote(r)} as {r}' for r in names)} from features)",
         f"patterns as (select {', '.join(names)}, count(*)::double as n from votes group by all)",
-        f"q0 as (select *, case when least({', '.join(f'coalesce({r}, 1)' for r in names)}) = 0 then 0.1::double else 0.9::double end as q from patterns)",
+        f"q0 as (select *, case when {' + '.join(f'case {r} when 0 then 1 else 0 end' for r in names)} >= {AGREE} then 0.1::double else 0.9::double end as q from patterns)",
     ]
     for k in range(ROUNDS):
         acc = ", ".join(
-            f"greatest({ON_GOOD[0]}, least({ON_GOOD[1]}::double, (coalesce(sum(n * q) filter ({r} = 1), 0) + 0.5) / (coalesce(sum(n * q) filter ({r} is not null), 0) + 1))) as g_{r}, "
-            f"greatest({ON_BAD[0]}, least({ON_BAD[1]}::double, (coalesce(sum(n * (1 - q)) filter ({r} = 0), 0) + 0.5) / (coalesce(sum(n * (1 - q)) filter ({r} is not null), 0) + 1))) as b_{r}"
+            f"(coalesce(sum(n * q) filter ({r} = 1), 0) + {PRIOR_GOOD[0]}) / (coalesce(sum(n * q) filter ({r} is not null), 0) + {sum(PRIOR_GOOD)}) as g_{r}, "
+            f"(coalesce(sum(n * (1 - q)) filter ({r} = 0), 0) + {PRIOR_BAD[0]}) / (coalesce(sum(n * (1 - q)) filter ({r} is not null), 0) + {sum(PRIOR_BAD)}) as b_{r}"
             for r in names
         )
         ctes.append(f"m{k} as materialized (select (sum(n * q) + 0.5) / (sum(n) + 1) as prior, {acc} from q{k})")

@@ -283,15 +283,43 @@ def test_quality(spark):
     got = quality.quality_scores(df).collect()
     kept = {r.doc_id for r in got if r.keep}
     assert len(got) == len(rows) and set(range(80)) <= kept and not kept & {r[0] for r in bad}
-    # the posterior against the sum over both states of one pattern
-    patterns = [((1, 1), 90), ((0, 1), 4), ((None, 0), 6)]
-    prior, q = quality.estimate(patterns)
-    assert 0 < q[(0, 1)] < 0.5 < q[(1, 1)] <= 1 and 0.8 < prior < 1 and quality.estimate([]) == (0.5, {})
     stage = quality.keep_good(df)
     assert stage.columns == df.columns and sorted(str(r[0]) for r in stage.collect()) == sorted(str(r.doc_id) for r in got if r.keep)
     assert quality.quality_scores(empty(spark)).count() == 0 and quality.keep_good(empty(spark)).count() == 0
 
 
+def test_quality_weighs_votes(spark):
+    rng = random.Random(12)
+    good = [(i, "\n".join(prose(rng, n=20) for _ in range(6)), "en", "s") for i in range(200)]
+    marked = [(300 + i, " ".join(w + "*" * 5 for w in prose(rng, n=60).split()), "en", "s") for i in range(12)]
+    lone = [(400, "\n".join(["a line stands here again"] * 5 + [prose(rng, n=200), prose(rng, n=200)]), "en", "s")]  # few characters, but most lines repeat
+    got = {r.doc_id: r for r in quality.quality_scores(spark.createDataFrame(good + marked + lone, DOCS)).collect()}
+    bad = lambda r: [k for k in quality.RULES if r[k] == 0]
+    assert bad(got[400]) == ["lines"] and got[400].keep  # one bad vote, outvoted by many good ones
+    assert all(len(bad(got[i[0]])) >= 2 and not got[i[0]].keep for i in marked) and all(got[i[0]].keep for i in good)
+
+
+def test_quality_estimate_against_plain_bayes():
+    patterns = [((1, 1, 1), 900), ((0, 0, 1), 40), ((1, 1, 0), 30), ((None, 0, 0), 6), ((None, None, None), 5)]
+    prior, right, q = quality.estimate(patterns)
+    (a, w), (b, v) = quality.PRIOR_GOOD, quality.PRIOR_BAD
+    p = {x: 0.1 if x.count(0) >= quality.AGREE else 0.9 for x, _ in patterns}
+    rows = [x for x, n in patterns for _ in range(n)]  # row by row, without counting patterns
+    for _ in range(quality.ROUNDS):
+        share = (sum(p[x] for x in rows) + 0.5) / (len(rows) + 1)
+        rates = []
+        for r in range(3):
+            own = [x for x in rows if x[r] is not None]
+            rates.append(((sum(p[x] for x in own if x[r]) + a) / (sum(p[x] for x in own) + a + w), (sum(1 - p[x] for x in own if not x[r]) + b) / (sum(1 - p[x] for x in own) + b + v)))
+        for x in p:
+            good = share * np.prod([rates[r][0] if x[r] else 1 - rates[r][0] for r in range(3) if x[r] is not None])
+            bad = (1 - share) * np.prod([1 - rates[r][1] if x[r] else rates[r][1] for r in range(3) if x[r] is not None])
+            p[x] = good / (good + bad)
+    assert prior == pytest.approx(share) and q == pytest.approx(p) and [x for y in right for x in y] == pytest.approx([x for y in rates for x in y])
+    assert q[(0, 0, 1)] < 0.5 < q[(1, 1, 0)] and q[(None, None, None)] == pytest.approx(prior, abs=1e-3)
+    assert quality.estimate([]) == (0.5, [], {})
+
+
 def test_decontamination(spark):
     import regex
 
