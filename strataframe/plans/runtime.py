@@ -29,11 +29,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL["dir"]
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back, which cuts its lineage."""
+def materialize(df: DataFrame, name: str = "table", **options: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back, which cuts its lineage; ``options`` are the writer's."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
