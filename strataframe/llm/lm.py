@@ -53,6 +53,7 @@ STRETCH = 256
 BATCH = 32  # stretches
 BLOCK = 1 << 15
 FAN_IN = 64
+PLAIN = {"parquet.enable.dictionary": "false"}  # no two runs are alike
 OUTER = " \t.,;:!?\"'()[]{}<>|*#$%&/\\-_=+~^`"
 
 
@@ -244,16 +245,19 @@ class Trainer:
             dh[i:j] += x @ net.members[a:b]
             d_members[a:b] = x.T @ h[i:j]
         dz = dh[:, :-1] * (1 - h[:, :-1] ** 2)
-        placed = np.zeros((s, k, HIDDEN), h.dtype)
-        placed.reshape(-1, HIDDEN)[take] = dz
-        g = np.zeros((s, k + 2 * REACH, 2 * REACH, HIDDEN), h.dtype)
-        for i, p in enumerate(PLACES):
-            g[:, REACH + p : REACH + p + k, i] = placed
+        # a neighbour's gradient is made of those of the targets around it, which stand side by side: the window of 2 * REACH + 1 of them that begins with the target REACH after it
+        width = k + 4 * REACH
+        placed = np.zeros((s, width, HIDDEN), h.dtype)
+        placed[take // k, take % k + 2 * REACH] = dz
+        around = np.lib.stride_tricks.as_strided(placed, (s * width - 2 * REACH, (2 * REACH + 1) * HIDDEN), (placed.strides[1], placed.strides[2]))
         flat = near.ravel()
         order = np.argsort(flat, kind="stable")
         flat = flat[order]
         first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-        return n, [(_row_sums(g.reshape(-1, 2 * REACH * HIDDEN), order, first), flat[first]), dz.sum(0), d_classes, d_members]
+        window = order // (k + 2 * REACH) * width + order % (k + 2 * REACH)
+        sums = _row_sums(around, window, first).reshape(-1, 2 * REACH + 1, HIDDEN)
+        context = sums[:, [REACH - p for p in PLACES]].reshape(-1, 2 * REACH * HIDDEN)
+        return n, [(context, flat[first]), dz.sum(0), d_classes, d_members]
 
     def batch(self, near: np.ndarray) -> None:
         n, (context, *rest) = self.gradients(near)
@@ -304,21 +308,39 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def encode(docs: DataFrame) -> DataFrame:
     """All texts as runs of word indices, written once to the shared folder."""
-    return materialize(pick(docs, doc_id="bigint", text="string").mapInArrow(_encode, RUNS), "runs")
+    return materialize(pick(docs, doc_id="bigint", text="string").mapInArrow(_encode, RUNS), "runs", **PLAIN)
 
 
 class Run(NamedTuple):
-    words: list[str]
-    ids: np.ndarray
+    known: np.ndarray  # the vocabulary's id of each of the run's words
+    ids: np.ndarray  # of each place, the number of its word in the run's list
     ends: np.ndarray
 
+    def padded(self) -> tuple[np.ndarray, np.ndarray]:
+        return padded(self.known[self.ids], self.ends)
+
+
+CODED = "run bigint, doc_ids array<bigint>, ends array<bigint>, ids binary, known binary"
+
+
+def code(encoded: DataFrame, index: dict[str, int]) -> DataFrame:
+    """The runs with the vocabulary's ids in place of their words, written once for the training rounds and the scoring."""
+    shared = encoded.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            known = pa.array([vocabulary_ids(w.as_py(), shared.value).tobytes() for w in b["words"]], pa.binary())
+            yield pa.RecordBatch.from_arrays([b["run"], b["doc_ids"], b["ends"], b["ids"], known], names=["run", "doc_ids", "ends", "ids", "known"])
+
+    return materialize(encoded.select("run", "doc_ids", "ends", "ids", "words").mapInArrow(run, CODED), "coded", **PLAIN)
+
 
 def _runs(table) -> Iterator[Run]:
     """The runs of a batch or table, one by one."""
-    words, ends, ids = (table[c] for c in ("words", "ends", "ids"))
+    known, ends, ids = (table[c] for c in ("known", "ends", "ids"))
     for i in range(table.num_rows):
-        own, raw = words[i].as_py(), ids[i].as_py()
-        yield Run(own, np.frombuffer(raw, np.uint16 if len(own) <= 1 << 16 else np.uint32).astype(np.int64), np.array(ends[i].as_py(), np.int64))
+        own = np.frombuffer(known[i].as_py(), np.int32)
+        yield Run(own, np.frombuffer(ids[i].as_py(), np.uint16 if len(own) <= 1 << 16 else np.uint32).astype(np.int64), np.array(ends[i].as_py(), np.int64))
 
 
 def vocabulary(encoded: DataFrame) -> tuple[list[tuple[str, int]], int, DataFrame]:
@@ -350,13 +372,9 @@ def _mean(key, table):
 SCHEMA = "block int, part bigint, n bigint, weights binary"
 
 
-def train(encoded: DataFrame, index: dict[str, int], net: Net) -> Net:
-    """The network after ``ROUNDS`` rounds over all runs; ``index`` has the words' ids."""
-    spark = encoded.sparkSession
-    if not index:
-        return net
-    texts = encoded.select("words", "ends", "ids")
-    known = spark.sparkContext.broadcast(index)
+def train(coded: DataFrame, net: Net) -> Net:
+    """The network after ``ROUNDS`` rounds over all runs."""
+    spark, texts = coded.sparkSession, coded.select("known", "ends", "ids")
     for r in range(ROUNDS):
         shared = spark.sparkContext.broadcast(net)
 
@@ -366,7 +384,7 @@ def train(encoded: DataFrame, index: dict[str, int], net: Net) -> Net:
             trainer = Trainer(shared.value, RATE[r])
             for b in batches:
                 for run in _runs(b):
-                    trainer.round(padded(vocabulary_ids(run.words, known.value)[run.ids], run.ends)[0], r)
+                    trainer.round(run.padded()[0], r)
             flat = pack(trainer.net)
             blocks = [flat[i : i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)] if trainer.targets else []
             k, part = len(blocks), TaskContext.get().partitionId()
@@ -396,9 +414,9 @@ def rare_shares(encoded: DataFrame, index: dict[str, int], rare: DataFrame) -> D
             for number, words in zip(b["run"].to_pylist(), b["words"]):
                 words = words.as_py()
                 at = [i for i, x in enumerate(words) if x not in known.value]
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(at), pa.int64()), pa.array(at, pa.int64()), pa.array([words[i] for i in at], pa.string())], names=["run", "i", "word"])
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array([words[i] for i in at], pa.string())], names=["run", "i", "word"])
 
-    return encoded.select("run", "words").mapInArrow(run, "run bigint, i bigint, word string").join(rare, "word").select("run", "i", "log_share")
+    return encoded.select("run", "words").mapInArrow(run, "run bigint, i int, word string").join(rare, "word").select("run", "i", F.col("log_share").cast("float"))
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
@@ -406,24 +424,28 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     encoded = encode(docs)
     own, total, words = vocabulary(encoded)
     index = {w: SPECIAL + i for i, (w, _) in enumerate(own)}
-    sc = docs.sparkSession.sparkContext
-    shared, known = sc.broadcast(train(encoded, index, initial([n for _, n in own], total))), sc.broadcast(index)
+    shares = materialize(rare_shares(encoded, index, rare_words(words, total)), "shares")
+    coded = code(encoded, index)
+    discard(words)
+    discard(encoded)
+    net = initial([n for _, n in own], total)
+    shared = docs.sparkSession.sparkContext.broadcast(train(coded, net) if own else net)
 
     def score(texts: pa.Table, rare: pa.Table) -> pa.Table:
         run = next(_runs(texts))
-        share = np.zeros(len(run.words))
+        share = np.zeros(len(run.known))
         share[rare["i"].to_numpy()] = rare["log_share"].to_numpy()
-        ids, at = padded(vocabulary_ids(run.words, known.value)[run.ids], run.ends)
         offsets = np.r_[0, run.ends]
-        sums = segment_sum(log_probabilities(shared.value, ids, at) + share[run.ids], offsets)
+        sums = segment_sum(log_probabilities(shared.value, *run.padded()) + share[run.ids], offsets)
         n = np.diff(offsets)
         mean = pa.array((sums / np.maximum(1, n)).round(6), mask=n == 0)
         return pa.table({"doc_id": pa.array(texts["doc_ids"][0].as_py(), pa.int64()), "n_tokens": n, "log_prob": sums.round(3), "mean_log_prob": mean})
 
-    shares = materialize(rare_shares(encoded, index, rare_words(words, total)), "shares")
-    discard(words)
-    texts = encoded.select("run", "words", "doc_ids", "ends", "ids")
-    return texts.groupBy("run").cogroup(shares.groupBy("run")).applyInArrow(score, "doc_id bigint, n_tokens bigint, log_prob double, mean_log_prob double")
+    scores = coded.groupBy("run").cogroup(shares.groupBy("run")).applyInArrow(score, "doc_id bigint, n_tokens bigint, log_prob double, mean_log_prob double")
+    out = materialize(scores, "scores")
+    for table in (coded, shares):
+        discard(table)
+    return out
 
 
 def op4_lm_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
