@@ -13,9 +13,10 @@ fingerprint; a large colliding set is verified by breadth-first search, which
 gives the same connected groups as comparing all its pairs. There is no cap.
 
 Defined cases: a null, empty or wordless text is never a duplicate; rows with a
-null ``doc_id`` take no part (a stage keeps them); several rows of one ``doc_id``
-count as one document for grouping, and the stage keeps one of them (the smallest
-text hash); of a group the smallest ``doc_id`` stays. Extra columns are ignored
+null ``doc_id`` take no part (a stage keeps them); rows are grouped by their texts,
+so different texts of one ``doc_id`` can be in different groups and join none of them;
+of a group the row with the smallest ``doc_id`` stays (then the smallest text hash, then
+any one of rows that repeat it). A very long text counts whole. Extra columns are ignored
 by the query and carried by the stage.
 """
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from strataframe.llm.text import column, remap, runs, tokenize
 from strataframe.operators.graph import connected_components
-from strataframe.plans.runtime import broadcast_if_small, materialize, pick
+from strataframe.plans.runtime import broadcast_if_small, discard, materialize, pick
 
 BLOCKS = 8
 RADIUS = 2
@@ -124,22 +126,48 @@ def _verify_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(held[0])
 
 
+#: Variants that one task emits, or sorts, at most on average; a row of them takes some 30 bytes.
+TASK_VARIANTS = 4 << 20
+
+
+def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of each key that has several, of rows sorted by key and member."""
+    key, rep = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def sets(key: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.r_[start, len(key)])
+        take = np.repeat(size > 1, size)
+        ends = np.r_[0, np.cumsum(size[size > 1])].astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(rep[take]))], names=["s"])
+
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    for b in batches:
+        k, r = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+        parts.append((k, r))
+        if len(k) and k[-1] != parts[0][0][0]:  # the last key may go on in the next batch
+            key, rep = (np.concatenate(x) for x in zip(*parts))
+            cut = int(np.searchsorted(key, key[-1]))
+            yield sets(key[:cut], rep[:cut])
+            parts = [(key[cut:], rep[cut:])]
+    if parts:
+        yield sets(*(np.concatenate(x) for x in zip(*parts)))
+
+
 def near_duplicate_edges(reps: DataFrame) -> DataFrame:
     """``(src, dst)`` between representatives (``rep`` and its fingerprint), connecting exactly the near-duplicate groups."""
+    spark = reps.sparkSession
+    emitted = reps.count() * BLOCKS * 33
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-emitted // TASK_VARIANTS))
     blocks = F.array(*[F.shiftrightunsigned(F.col(LANES[b // 2]), 32 * (1 - b % 2)).bitwiseAND(0xFFFFFFFF) for b in range(BLOCKS)])
-    variants = reps.select("rep", F.posexplode(blocks).alias("b", "v")).select(
-        "rep",
+    # the few bytes a fingerprint are spread before they become hundreds of variants
+    variants = reps.repartition(tasks, "rep").select("rep", F.posexplode(blocks).alias("b", "v")).select(
         F.explode(
             F.expr("transform(sequence(-1, 31), k -> shiftleft(cast(b as bigint), 32) | if(k < 0, v, v ^ shiftleft(1L, k)))")
         ).alias("key"),
+        "rep",
     )
-    sets = (
-        variants.groupBy("key")
-        .agg(F.collect_list("rep").alias("s"))
-        .filter("size(s) > 1")
-        .select(F.sort_array("s").alias("s"))
-        .distinct()
-    )
+    sets = variants.repartition(tasks, "key").sortWithinPartitions("key", "rep").mapInArrow(_collisions, "s array<bigint>").distinct()
     sets = materialize(sets, "collisions")
     fp = [F.col(f"x.{c}") for c in LANES]
     distance = sum(F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in LANES)
@@ -163,39 +191,56 @@ def near_duplicate_edges(reps: DataFrame) -> DataFrame:
     return two.union(more).distinct()
 
 
-def duplicate_groups(fps: DataFrame) -> DataFrame:
-    """``(doc_id, group_id)`` of every document that has a near duplicate; the group is its smallest ``doc_id``."""
+class Groups(NamedTuple):
+    rows: DataFrame  #: (doc_id, text_hash, keep_id, keep_hash) of each row whose group has another row, and of those that repeat a kept one
+    scratch: list[DataFrame]  #: what ``rows`` reads
+
+
+def duplicate_groups(docs: DataFrame) -> Groups:
+    """Every row that has a duplicate, with the ``doc_id`` and text hash of its group's row that stays."""
+    fps = materialize(fingerprint_table(docs), "fingerprints")
     usable = fps.filter("n_words > 0")
-    byfp = usable.groupBy(*LANES).agg(F.min("doc_id").alias("rep"))
-    # several rows of one doc_id can be representatives of several fingerprints: they are one document
-    reps = materialize(byfp.select("rep", *LANES), "reps")
-    same = usable.join(reps, LANES).filter("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst"))
-    edges = materialize(near_duplicate_edges(reps).union(same).filter("src <> dst").distinct(), "edges")
-    return connected_components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("group_id"))
+    first = F.struct("doc_id", "text_hash")
+    byfp = usable.groupBy(*LANES).agg(F.min(first).alias("m"), F.count("*").alias("n"))
+    # a number of its own for each fingerprint, as a doc_id may have several
+    reps = materialize(byfp.select(F.monotonically_increasing_id().alias("rep"), *LANES, "m", "n"), "reps")
+    edges = materialize(near_duplicate_edges(reps.select("rep", *LANES)).filter("src <> dst").distinct(), "edges")
+    linked = materialize(connected_components(edges).select(F.col("node").alias("rep"), "component"), "components")
+    grouped = reps.join(linked, "rep", "left").filter("component is not null or n > 1").withColumn("component", F.coalesce("component", "rep"))
+    kept = grouped.groupBy("component").agg(F.min("m").alias("k"))
+    mine = grouped.join(kept, "component").select(*LANES, "k")
+    rows = usable.join(mine, LANES).select("doc_id", "text_hash", F.col("k.doc_id").alias("keep_id"), F.col("k.text_hash").alias("keep_hash"))
+    return Groups(rows, [fps, reps, edges, linked])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``(doc_id, duplicate_of)``: each document that is a near duplicate of a document with a smaller id, and its group's smallest id."""
-    fps = materialize(fingerprint_table(docs), "fingerprints")
-    return duplicate_groups(fps).filter("doc_id <> group_id").select("doc_id", F.col("group_id").alias("duplicate_of"))
+    """``(doc_id, duplicate_of)``: each document with a text that is a near duplicate of a text of a smaller id, and the smallest id of that group."""
+    found = duplicate_groups(docs)
+    out = materialize(found.rows.filter("doc_id <> keep_id").select("doc_id", F.col("keep_id").alias("duplicate_of")).distinct(), "duplicates")
+    for table in found.scratch:
+        discard(table)
+    return out
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """``docs`` without near duplicates: one document of each group stays, with all its columns."""
-    fps = materialize(fingerprint_table(docs), "fingerprints")
-    drop = materialize(duplicate_groups(fps).filter("doc_id <> group_id").select("doc_id").distinct(), "drop")
+    """``docs`` without near duplicates: one row of each group stays, with all its columns."""
+    found = duplicate_groups(docs)
+    is_kept = (F.col("doc_id") == F.col("keep_id")) & (F.col("text_hash") == F.col("keep_hash"))
+    counts = found.rows.groupBy("doc_id", "text_hash").agg(F.bool_and(is_kept).alias("stays"), F.count("*").alias("n"))
+    touched = materialize(counts.filter("not stays or n > 1"), "touched")  # what goes, and what stays once
+    for table in found.scratch:
+        discard(table)
     names = docs.columns
     flat = docs.toDF(*[f"__c{i}" for i in range(len(names))])
     key = F.col(f"__c{_position(names, 'doc_id')}").try_cast("bigint")
-    text = F.col(f"__c{_position(names, 'text')}").try_cast("string")
-    kept = flat.join(broadcast_if_small(drop, 16).select(F.col("doc_id").alias("__drop")), key == F.col("__drop"), "left_anti")
-    twice = materialize(fps.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("text_hash").alias("h")).filter("n > 1").select("doc_id", "h"), "twice")
-    if twice.isEmpty():
+    text = F.xxhash64(F.col(f"__c{_position(names, 'text')}").try_cast("string"))
+    mark = broadcast_if_small(touched.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h"), F.col("stays").alias("__stays")), 25)
+    marked = flat.join(mark, (key == F.col("__id")) & (text == F.col("__h")), "left")
+    once = touched.filter("stays").isEmpty()
+    kept = marked.filter("__stays is null").drop("__id", "__h", "__stays")
+    if once:
         return kept.toDF(*names)
-    t = broadcast_if_small(twice, 24).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"))
-    one = kept.join(t, key == F.col("__id"), "left_anti")
-    some = kept.join(t, (key == F.col("__id")) & (F.xxhash64(text) == F.col("__h"))).dropDuplicates(["__id"]).drop("__id", "__h")
-    return one.union(some).toDF(*names)
+    return kept.union(marked.filter("__stays").dropDuplicates(["__id", "__h"]).drop("__id", "__h", "__stays")).toDF(*names)
 
 
 def _position(names: list[str], name: str) -> int:
@@ -207,11 +252,12 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-#: All pairs of distinct fingerprints by brute force, then reachability.
+#: All pairs of distinct fingerprints by brute force, then reachability; rows, not ids, are grouped.
 SQL = f"""
-with recursive words as (
-  select distinct doc_id, trim(w, {"' ' || chr(9) || '" + OUTER.strip().replace("'", "''") + "'"}) as w
-  from (select doc_id, unnest(regexp_split_to_array(lower(text), '[ \\t\\n\\r]+')) as w from documents where doc_id is not null)
+with recursive docs as (select row_number() over () as r, doc_id, text from documents where doc_id is not null
+), words as (
+  select distinct r as doc_id, trim(w, {"' ' || chr(9) || '" + OUTER.strip().replace("'", "''") + "'"}) as w
+  from (select r, unnest(regexp_split_to_array(lower(text), '[ \\t\\n\\r]+')) as w from docs)
 ), hashed as (select doc_id, sha256(w) as m from words where w <> ''
 ), nibbles as (
   select doc_id, i, strpos('0123456789abcdef', substr(m, i + 1, 1)) - 1 as v, 1 as one
@@ -238,5 +284,6 @@ with recursive words as (
   select a as node, a as seen from edges
   union select reach.node, edges.c from reach join edges on reach.seen = edges.a
 )
-select node as doc_id, min(seen) as duplicate_of from reach group by node having min(seen) < node
+select distinct own.doc_id, least_id as duplicate_of
+from (select node, min(doc_id) as least_id from reach join docs on docs.r = reach.seen group by node) g join docs own on own.r = g.node where own.doc_id > least_id
 """
