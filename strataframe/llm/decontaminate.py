@@ -1,21 +1,27 @@
 """Operator 7: benchmark decontamination with one Aho-Corasick automaton.
 
 Text and benchmark items are normalised alike: every run of other characters
-than letters and digits becomes one space, then lower case. The automaton
-holds every run of ``GRAM`` words of every item (an item of fewer words whole), so
-a copied part of an item is found as well. Each text is scanned once; word
-positions of the hits are mapped back to character offsets of the original.
-Overlapping or adjoining hits of one item are one span.
-
-The patterns are sent to the executors up to ``PATTERN_BYTES``; a larger benchmark is
-split into several automata of that size, one scan each. All patterns of an item are in
-one automaton (a pattern of several items may be in several, and an item over that size
-has its own), so the split does not change spans.
-
-Defined cases: null, empty or wordless texts and items match nothing; equal items
-each report their own span; repeated document rows each report their spans; an
-empty table gives an empty result. Extra columns are ignored by the query and
-carried by the stage, which drops every document that has a span.
+than letters and digits becomes one space, then lower case. A passage is a run of at least
+``GRAM`` words that stands in an item (of an item of fewer words, the whole item). The
+automaton holds runs of ``ANCHOR`` words of each item, one at every
+``GRAM - ANCHOR + 1``-th word, so every passage holds one of them, and a whole short item.
+Each text is scanned once; from a hit the passage is followed word by word to both sides,
+and the positions of its words are mapped back to character offsets of the original.
+Overlapping or adjoining passages of one item are one span. That is the same as searching
+all runs of ``GRAM`` words, at a tenth of the memory.
+
+The anchors are sent to the executors up to ``PATTERN_BYTES``, of which an automaton takes
+some 45 times as much memory; it is built once a Python worker. A larger benchmark is read
+and searched in parts of that size, one scan each. All anchors of an item are in one part
+(an item over that size has its own), so the parts do not change the spans, and the driver
+holds one part at a time.
+
+Defined cases: null, empty or wordless texts and items match nothing; items of under
+``LEAST_WORDS`` words name no passage and match nothing; rows of one ``item_id``, null
+included, are one item; equal items each report their own span; repeated document rows each
+report their spans; a very long text is scanned whole; an empty table gives an empty result.
+Extra columns are ignored by the query and carried by the stage, which drops every document
+that has a span.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +40,11 @@ from strataframe.llm.text import column, runs
 from strataframe.plans.runtime import pick
 
 GRAM = 13
-PATTERN_BYTES = 64 << 20
+ANCHOR = 8
+LEAST_WORDS = 2
+PATTERN_BYTES = 8 << 20
 WORD = r"[\p{L}\p{N}]+"
+SCHEMA = "doc_id bigint, item_id bigint, start bigint, end bigint"
 
 
 def normalise(texts: pa.Array) -> pa.Array:
@@ -43,65 +53,100 @@ def normalise(texts: pa.Array) -> pa.Array:
     return pc.binary_join_element_wise("", pc.utf8_trim(pc.utf8_lower(plain), " "), "", " ")
 
 
-def item_patterns(items: list[tuple[int, str | None]], gram: int = GRAM) -> dict[str, list[int]]:
-    """Framed word runs and the items that hold them."""
-    found: dict[str, set[int]] = {}
-    for (item, _), text in zip(items, normalise(pa.array([t for _, t in items], pa.string())).to_pylist()):
-        words = text.split()
-        for i in range(max(1, len(words) - gram + 1)) if words else ():
-            found.setdefault(f" {' '.join(words[i : i + gram])} ", set()).add(item)
-    return {p: sorted(v) for p, v in found.items()}
-
-
-def _automaton(patterns: dict[str, list[int]]):
-    import ahocorasick
-
-    a = ahocorasick.Automaton()
-    for p, ids in patterns.items():
-        a.add_word(p, (ids, p.count(" ") - 1))
-    if patterns:
-        a.make_automaton()
-    return a
-
-
-def spans(automaton, normal: str, original: str) -> list[tuple[int, int, int]]:
+class Benchmark:
+    """Items as words, and their framed anchors with (item, word) of each place. The automaton is built where it is first used and not sent."""
+
+    def __init__(self) -> None:
+        self.ids: list[int | None] = []
+        self.words: list[list[str]] = []
+        self.anchors: dict[str, list[tuple[int, int]]] = {}
+        self.bytes = 0
+        self.known: dict[str, str] = {}  # one string object a word
+
+    def add(self, item: int | None, normal: str) -> None:
+        words = [self.known.setdefault(w, w) for w in normal.split()]
+        if len(words) < LEAST_WORDS:
+            return
+        whole = len(words) < GRAM
+        for i in (0,) if whole else range(0, len(words) - ANCHOR + 1, GRAM - ANCHOR + 1):
+            p = f" {' '.join(words if whole else words[i : i + ANCHOR])} "
+            if p not in self.anchors:
+                self.bytes += len(p.encode())
+            self.anchors.setdefault(p, []).append((len(self.ids), i))
+        self.ids.append(item)
+        self.words.append(words)
+
+    def __getstate__(self):
+        return {"ids": self.ids, "words": self.words, "anchors": self.anchors}
+
+    def automaton(self):
+        if "_automaton" not in self.__dict__:
+            import ahocorasick
+
+            self._automaton = ahocorasick.Automaton()
+            for p, places in self.anchors.items():
+                self._automaton.add_word(p, (places, p.count(" ") - 1))
+            self._automaton.make_automaton()
+        return self._automaton
+
+    def passages(self, normal: str) -> Iterator[tuple[int | None, int, int]]:
+        """``(item, first word, last word)`` of each passage in a normalised text, in the order of their anchors."""
+        hits = [(end, *value) for end, value in self.automaton().iter(normal)] if self.anchors else []
+        if not hits:
+            return
+        text = normal.split()
+        ends = np.cumsum([len(w) + 1 for w in text]).tolist()  # position of the space after each word
+        done: dict[tuple[int, int], int] = {}  # (item, shift) -> last word seen to
+        for end, places, n in hits:
+            last = bisect_right(ends, end) - 1
+            for item, at in places:
+                words, shift = self.words[item], last - n + 1 - at
+                if last <= done.get((item, shift), -1):
+                    continue
+                a, z = last - n + 1, last
+                if len(words) >= GRAM:
+                    while a > 0 and a - shift > 0 and text[a - 1] == words[a - 1 - shift]:
+                        a -= 1
+                    while z + 1 < len(text) and z + 1 - shift < len(words) and text[z + 1] == words[z + 1 - shift]:
+                        z += 1
+                done[item, shift] = z
+                if z - a + 1 >= min(GRAM, len(words)):
+                    yield self.ids[item], a, z
+
+
+def spans(benchmark: Benchmark, normal: str, original: str) -> list[tuple[int | None, int, int]]:
     """``(item, start, end)`` in characters of the original, of one text."""
     import regex
 
-    hits = [(end, *value) for end, value in automaton.iter(normal)]
-    if not hits:
+    found: dict[int | None, list[list[int]]] = {}
+    for item, a, z in benchmark.passages(normal):
+        found.setdefault(item, []).append([a, z])
+    if not found:
         return []
-    ends = np.cumsum([len(w) + 1 for w in normal.split()]).tolist()  # position of the space after each word
-    runs_of: dict[int, list[list[int]]] = {}
-    for end, ids, n in hits:
-        last = bisect_right(ends, end) - 1
-        for item in ids:
-            mine = runs_of.setdefault(item, [])
-            if mine and last - n + 1 <= mine[-1][1] + 1:
-                mine[-1] = [min(mine[-1][0], last - n + 1), max(mine[-1][1], last)]
+    at, out = [m.span() for m in regex.finditer(WORD, original)], []
+    for item, runs_of in found.items():
+        merged: list[list[int]] = []
+        for a, z in sorted(runs_of):
+            if merged and a <= merged[-1][1] + 1:
+                merged[-1][1] = max(merged[-1][1], z)
             else:
-                mine.append([last - n + 1, last])
-    at = [m.span() for m in regex.finditer(WORD, original)]
-    return sorted((item, at[a][0], at[z][1]) for item, mine in runs_of.items() for a, z in mine)
-
-
-def _benchmark_parts(benchmark: DataFrame) -> list[dict[str, list[int]]]:
-    rows = [(r[0], r[1]) for r in pick(benchmark, item_id="bigint", text="string").filter("item_id is not null").toLocalIterator()]
-    of: dict[int, list[str]] = {}
-    for p, ids in sorted(item_patterns(rows).items()) if rows else ():
-        for item in ids:
-            of.setdefault(item, []).append(p)
-    parts: list[dict[str, list[int]]] = [{}]
-    held = 0
-    for item, mine in sorted(of.items()):
-        more = sum(len(p.encode()) for p in mine if p not in parts[-1])
-        if held and held + more > PATTERN_BYTES:
-            parts.append({})
-            held, more = 0, sum(len(p.encode()) for p in mine)
-        for p in mine:
-            parts[-1].setdefault(p, []).append(item)
-        held += more
-    return parts
+                merged.append([a, z])
+        out += [(item, at[a][0], at[z][1]) for a, z in merged]
+    return out
+
+
+def _parts(benchmark: DataFrame) -> Iterator[Benchmark]:
+    """The benchmark in parts of about ``PATTERN_BYTES`` of anchors; at least one."""
+    rows = ((r[0], r[1]) for r in pick(benchmark, item_id="bigint", text="string").filter("text is not null").orderBy("item_id").toLocalIterator())
+    part, some = Benchmark(), False
+    for item, mine in groupby(rows, key=lambda r: r[0]):
+        if part.bytes >= PATTERN_BYTES:
+            yield part
+            part, some = Benchmark(), True
+        for normal in normalise(pa.array([t for _, t in mine], pa.string())).to_pylist():
+            part.add(item, normal)
+    if part.ids or not some:
+        yield part
 
 
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -110,40 +155,38 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def scan(part):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            a = _automaton(part.value)
             for whole in batches:
                 for b in runs(whole, "text"):
                     out: list[tuple] = []
                     text, ids = column(b, "text"), column(b, "doc_id")
-                    for i, normal in enumerate(normalise(text).to_pylist()) if len(a) else ():
-                        if next(a.iter(normal), None) is not None:
-                            out += [(ids[i].as_py(), *s) for s in spans(a, normal, text[i].as_py())]
+                    for i, normal in enumerate(normalise(text).to_pylist()):
+                        if next(part.value.passages(normal), None):
+                            out += [(ids[i].as_py(), *s) for s in spans(part.value, normal, text[i].as_py())]
                     cols = list(zip(*out)) or [[], [], [], []]
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "item_id", "start", "end"])
 
         return run
 
-    parts = [docs.sparkSession.sparkContext.broadcast(p) for p in _benchmark_parts(benchmark)]
-    return reduce(DataFrame.union, [d.mapInArrow(scan(p), "doc_id bigint, item_id bigint, start bigint, end bigint") for p in parts])
+    parts = [docs.sparkSession.sparkContext.broadcast(p) for p in _parts(benchmark)]
+    return reduce(DataFrame.union, [d.mapInArrow(scan(p), SCHEMA) for p in parts])
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark passage stands, in one pass over each automaton's texts."""
+    """The rows of ``docs`` in which no benchmark passage stands, in one pass over each part's texts."""
     names = docs.columns
     at = names.index("text") if "text" in names else [c.lower() for c in names].index("text")
     flat = docs.toDF(*[f"__c{i}" for i in range(len(names))])
 
     def select(part):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            a = _automaton(part.value)
             for whole in batches:
                 for b in runs(whole, f"__c{at}"):
-                    normal = normalise(b.column(at).cast(pa.string())).to_pylist() if len(a) else [""] * b.num_rows
-                    yield b.filter(pa.array([not len(a) or next(a.iter(t), None) is None for t in normal], pa.bool_()))
+                    clean = [next(part.value.passages(t), None) is None for t in normalise(b.column(at).cast(pa.string())).to_pylist()]
+                    yield b.filter(pa.array(clean, pa.bool_()))
 
         return run
 
-    for p in [docs.sparkSession.sparkContext.broadcast(p) for p in _benchmark_parts(benchmark)]:
+    for p in [docs.sparkSession.sparkContext.broadcast(p) for p in _parts(benchmark)]:
         flat = flat.mapInArrow(select(p), flat.schema)
     return flat.toDF(*names)
 
@@ -161,7 +204,7 @@ with tok as (
   select 'b', item_id, row_number() over (), text, regexp_extract_all(text, '[\p{{L}}\p{{N}}]+'), regexp_split_to_array(text, '[\p{{L}}\p{{N}}]+') from benchmark where text is not null
 ), item as (
   select distinct id as item_id, least(len(w), {GRAM}) as n, lower(array_to_string(w[i + 1 : i + least(len(w), {GRAM})], ' ')) as g
-  from (select *, unnest(range(0, greatest(1, len(w) - {GRAM} + 1))) as i from tok where kind = 'b' and len(w) > 0)
+  from (select *, unnest(range(0, greatest(1, len(w) - {GRAM} + 1))) as i from tok where kind = 'b' and len(w) >= {LEAST_WORDS})
 ), sizes as (select distinct n from item
 ), doc as (
   select id, r, i, n, lower(array_to_string(w[i + 1 : i + n], ' ')) as g

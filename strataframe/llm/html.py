@@ -11,12 +11,16 @@ text; a page whose ratios are all alike is content as a whole; scripts, styles a
 the head are no text. Only ``<a href>`` is a link. A link or silent element ends with
 its own end tag or that of the block around it, a link also with the next ``<a>``; of
 those that never get their own end tag, a link ends with its line and a silent element
-is read as text (but for scripts and styles, which the parser reads to the end). Repeated rows are each extracted; extra columns are ignored.
+is read as text (but for scripts and styles, which reach to the end of the page). What follows
+the last ``>`` of a page is text, so markup without an end is not searched again and again and
+a very long page takes time in proportion to its length. Ratios that are equal to the threshold
+are content. Repeated rows are each extracted; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -33,7 +37,7 @@ BLOCKS = frozenset(
 VOID = frozenset(["br", "hr"])
 #: Elements that an opening tag of the same group ends.
 IMPLIED = {t: g for g in (frozenset(["li"]), frozenset(["dt", "dd"]), frozenset(["option"]), frozenset(["tr"]), frozenset(["td", "th"])) for t in g}
-SILENT = frozenset("script style title noscript template textarea select".split())
+SILENT = frozenset("head script style title noscript template textarea select".split())
 SCHEMA = "page_id bigint, text string, n_lines bigint, n_content_lines bigint"
 
 
@@ -142,8 +146,13 @@ class _Lines:
 
 def lines_of(html: str) -> list[tuple[str, int, int]]:
     p = _Events()
-    p.feed(html)
-    p.close()
+    end = html.rfind(">") + 1
+    p.feed(html[:end])
+    raw = p.cdata_elem  # an open script or style
+    if raw is None:
+        p.close()
+        if end < len(html):
+            p.handle_data(unescape(html[end:]))
     out = _Lines()
     for i, (kind, what, href) in enumerate(p.events):
         if kind == "data":

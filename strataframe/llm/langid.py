@@ -2,8 +2,8 @@
 
 A language's model is the distribution of its byte trigrams (each word lower-cased,
 stripped of outer punctuation and framed by markers), fitted on a bounded sample of
-rows with a label (``SAMPLE_PER_LANGUAGE`` of them, those with the smallest hash of
-``doc_id``). A document is a mixture: each word comes from one language, with the
+labelled documents (``SAMPLE_PER_LANGUAGE`` ids a language, those with the smallest hash of
+``doc_id``; of several texts of an id the one with the smallest hash). A document is a mixture: each word comes from one language, with the
 likelihood of its trigrams, or from an "unknown" source that holds all trigrams
 equally likely. Expectation-maximisation estimates the proportions. The first language is
 the likeliest; others are added one at a time, the best first, as long as the
@@ -13,7 +13,8 @@ languages make up at least ``KEEP_SHARE`` of it.
 
 Defined cases: a null, empty or wordless text has no languages, no shares and is
 not kept; without any labelled row every document is unknown. Equal likelihoods
-go to the language that is first by name. Repeated rows are each scored. Extra
+go to the language that is first by name. A very long text is inferred whole, in one run
+of its own. Repeated rows are each scored. Extra
 columns are ignored by the query and carried by the stage.
 """
 
@@ -24,9 +25,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataframe.llm.sample import sample_texts, smallest_hashes
 from strataframe.llm.text import column, remap, runs, tokenize
 from strataframe.plans.runtime import pick
 
@@ -82,10 +84,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame) -> Model:
     """Trigram models from the bounded sample; counted on the executors, at most languages x 2^BITS sums reach the driver."""
-    d = pick(docs, doc_id="bigint", lang="string", text="string").filter("lang is not null and text is not null and doc_id is not null")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = d.select("doc_id", "lang").withColumn("r", F.row_number().over(first)).filter(F.col("r") <= SAMPLE_PER_LANGUAGE).select("doc_id", "lang")
-    sample = d.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")  # bounded by the sample
+    ids = smallest_hashes(pick(docs, doc_id="bigint", lang="string"), "lang", SAMPLE_PER_LANGUAGE)
+    sample = sample_texts(docs, ids, "lang", True)
     rows = sample.select("lang", "text").mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(rows["lang"].unique().tolist())
     counts = np.full((len(languages), 1 << BITS), 0.05)

@@ -7,6 +7,7 @@ QUERIES = {
     for f in (
         simhash.op1_simhash_near_dedup,
         shards.op2_kd_shards,
+        shards.op2_kd_shards_fine,
         toxicity.op3_toxicity,
         lm.op4_lm_pseudo_likelihood,
         chat.op5_chat_format,
@@ -22,6 +23,7 @@ QUERIES = {
 SQL = {
     "op1_simhash_near_dedup": simhash.SQL,
     "op2_kd_shards": shards.SQL,
+    "op2_kd_shards_fine": shards.FINE_SQL,
     "op5_chat_format": chat.SQL,
     "op6_quality_rules": quality.SQL,
     "op7_benchmark_decontamination": decontaminate.SQL,

@@ -48,6 +48,7 @@ def _widest(ranges: list[int]) -> tuple:
 def shard(docs: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """``(doc_id, shard, size)`` for every row."""
     active = materialize(_metadata(docs).withColumn("node", F.lit(1).cast("bigint")), "kd")
+    used = [active]  # all that the result reads
     ends = active.agg(*[f(d).alias(f"{n}_{d}") for d in DIMS for n, f in (("lo", F.min), ("hi", F.max))]).first()
     ranges = [(ends[f"hi_{d}"] or 0) - (ends[f"lo_{d}"] or 0) for d in DIMS]
     at, most = _widest(ranges)
@@ -68,17 +69,24 @@ def shard(docs: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
         done.append(active.join(inner.select("node"), "node", "left_anti").select("doc_id", F.col("node").alias("shard"), "size"))
         while split.filter("b > a").limit(1).count():
             narrow = _refine(active, split, value)
-            if refined:  # the first is still read by the result of this level
+            if refined:
                 discard(split)
+            else:
+                used.append(split)  # the first is still read by the result of this level
             split, refined = narrow, True
         cut = split.selectExpr("node", "dim", "if(b = top, b - 1, b) as cut")
+        cut = materialize(cut, "kd-cut")
         active = materialize(
-            active.join(broadcast_if_small(materialize(cut, "kd-cut"), 24), "node").withColumn("node", F.col("node") * 2 + F.when(value > F.col("cut"), 1).otherwise(0)).select(*active.columns),
+            active.join(broadcast_if_small(cut, 24), "node").withColumn("node", F.col("node") * 2 + F.when(value > F.col("cut"), 1).otherwise(0)).select(*active.columns),
             "kd",
         )
+        used += [split, cut, active]
     out = done[0]
     for d in done[1:]:
         out = out.union(d)
+    out = materialize(out, "shards")
+    for table in used:
+        discard(table)
     return out
 
 
@@ -113,6 +121,14 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+#: A target at which small tables are split many times over as well.
+FINE_BYTES = 128 << 10
+
+
+def op2_kd_shards_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(spark.read.parquet(f"{sf_dir}/documents.parquet"), FINE_BYTES)
+
+
 def sql(target_bytes: int = TARGET_BYTES, levels: int = 16) -> str:
     """The same tree with window sums over values, ``levels`` levels deep."""
     code = lambda c: f"coalesce(('0x' || substr(md5({c}), 1, 8))::bigint, -1)"
@@ -138,4 +154,4 @@ def sql(target_bytes: int = TARGET_BYTES, levels: int = 16) -> str:
     return "with " + ",\n".join(ctes) + f"\nselect doc_id, node as shard, size from l{levels}"
 
 
-SQL = sql()
+SQL, FINE_SQL = sql(), sql(FINE_BYTES)

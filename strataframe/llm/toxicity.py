@@ -8,14 +8,17 @@ probability. Every window of every document is scored; a document's score is its
 worst window's.
 
 The network is trained in numpy on a bounded sample of labelled documents: of each
-class at most ``SAMPLE_PER_CLASS``, those with the smallest hash of ``doc_id``. Labels
+class at most ``SAMPLE_PER_CLASS``, those with the smallest hash of ``doc_id``; an id that is
+labelled both ways is left out, and of several texts of an id the one with the smallest hash
+is taken, so training is the same in every run. Labels
 are of documents, so training is multiple-instance: a toxic document contributes the
 windows that score highest so far (at first those with the most telling words and
 n-grams), a clean one its worst and some random windows. A fifth of the sample is held out
 to choose the threshold.
 
 Defined cases: a null, empty or wordless text has no windows, a null score and is
-not toxic; with no labels of both classes nothing is toxic (score zero); repeated rows are each
+not toxic; with no labels of both classes nothing is toxic (score zero); a very long text is
+scored in all its windows; of windows that score alike the first is the worst; repeated rows are each
 scored; an empty table has no result; extra columns are ignored.
 """
 
@@ -26,9 +29,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataframe.llm.sample import sample_texts, smallest_hashes
 from strataframe.llm.text import Words, column, remap, runs, tokenize
 from strataframe.plans.runtime import pick
 
@@ -320,11 +324,11 @@ def _threshold(score: np.ndarray, y: np.ndarray) -> float:
 
 def train(docs: DataFrame, labels: DataFrame) -> Net | None:
     """Fits on the bounded sample, which is all that reaches the driver."""
-    ids = pick(labels, doc_id="bigint", toxic="int").filter("doc_id is not null and toxic is not null").distinct()
-    first = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= SAMPLE_PER_CLASS).select("doc_id", "toxic")
-    d = pick(docs, doc_id="bigint", text="string").filter("text is not null")
-    rows = d.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()  # the broadcast is bounded by the sample
+    marked = pick(labels, doc_id="bigint", toxic="int")
+    ids = smallest_hashes(marked, "toxic", SAMPLE_PER_CLASS)
+    mine = marked.dropna().join(F.broadcast(ids.select("doc_id").distinct()), "doc_id").groupBy("doc_id")  # bounded by the sample
+    agreed = mine.agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).filter("toxic = other").select("doc_id", "toxic")
+    rows = sample_texts(docs, agreed, "toxic", False).orderBy("doc_id").collect()
     return fit([r["text"] for r in rows], [r["toxic"] for r in rows])
 
 

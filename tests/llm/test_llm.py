@@ -44,12 +44,13 @@ def near_rows(rng):
 
 
 def brute_groups(rows):
+    """Groups of row numbers by all pairs of rows."""
     fps = {}
-    for i, t, *_ in rows:
+    for r, (i, t, *_) in enumerate(rows):
         if i is not None:
             n, fp = simhash.fingerprints(pa.array([t], pa.string()))
             if n[0]:
-                fps[i] = fp.view(np.uint32)[0]
+                fps[r] = fp.view(np.uint32)[0]
     parent = {i: i for i in fps}
 
     def find(x):
@@ -63,19 +64,53 @@ def brute_groups(rows):
             if a < b and d.sum() <= simhash.MAX_DISTANCE and d.min() <= simhash.RADIUS:
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
-    return {i: find(i) for i in fps if find(i) != i}
+    groups = {}
+    for r in fps:
+        groups.setdefault(find(r), []).append(r)
+    return groups.values()
+
+
+def brute_duplicates(rows):
+    return {(rows[r][0], min(rows[x][0] for x in g)) for g in brute_groups(rows) for r in g if rows[r][0] > min(rows[x][0] for x in g)}
+
+
+def sql_rows(sql, **tables):
+    import duckdb
+
+    with duckdb.connect() as c:
+        for name, df in tables.items():
+            c.register(name, df.toArrow())
+        return sorted(c.sql(sql).fetchall(), key=str)
 
 
 def test_simhash_matches_all_pairs(spark):
     df, rows = odd_rows(spark, near_rows(random.Random(1)))
-    got = {r.doc_id: r.duplicate_of for r in simhash.near_duplicates(df).collect()}
-    assert got == brute_groups(rows)
-    assert {200, 201, 202, 203, 204} <= got.keys()
+    got = [tuple(r) for r in simhash.near_duplicates(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_duplicates(rows)
+    assert {200, 201, 202, 203, 204} <= {i for i, _ in got}
     kept = simhash.deduplicate(df)
     assert kept.columns == df.columns
     ids = [r[0] for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({r[0] for r in rows if r[0] is not None} - got.keys()) and ids.count(None) == 1
-    assert simhash.near_duplicates(empty(spark)).count() == 0
+    assert sorted(i for i in ids if i is not None) == sorted({r[0] for r in rows if r[0] is not None} - {i for i, _ in got}) and ids.count(None) == 1
+    assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.deduplicate(empty(spark)).count() == 0
+
+
+def test_simhash_repeated_ids(spark):
+    rng = random.Random(13)
+    a, b, c = (prose(rng, n=80, extra=[f"{x}{i}" for i in range(200)]) for x in "xyz")
+    rows = [(3, a, "en", "s"), (4, b, "en", "s"), (5, a, "en", "s"), (5, b, "en", "s"), (6, c, "en", "s"), (6, c, "en", "s"), (6, "", "en", "s")]
+    df = spark.createDataFrame(rows, DOCS)
+    got = sorted(tuple(r) for r in simhash.near_duplicates(df).collect())
+    assert got == [(5, 3), (5, 4)] == sql_rows(simhash.SQL, documents=df)
+    assert sorted((r.doc_id, r.text) for r in simhash.deduplicate(df).collect()) == sorted([(3, a), (4, b), (6, c), (6, "")])
+
+
+def test_simhash_collisions_over_batches():
+    key = np.array([1, 1, 2, 3, 3, 3, 4, 5, 5], np.int64)
+    rep = np.arange(9, dtype=np.int64)
+    for cut in range(1, 9):
+        parts = [pa.RecordBatch.from_arrays([pa.array(key[i : i + cut]), pa.array(rep[i : i + cut])], names=["key", "rep"]) for i in range(0, 9, cut)]
+        assert [x for b in simhash._collisions(iter(parts)) for x in b.column(0).to_pylist()] == [[0, 1], [3, 4, 5], [7, 8]]
 
 
 def brute_shards(rows, target):
@@ -161,6 +196,32 @@ def test_toxicity_gradients():
         assert (up - down) / (2 * eps) == pytest.approx(g[k][i], rel=1e-2, abs=2e-6), k
 
 
+def test_toxicity_windows_match_a_plain_loop():
+    rng = np.random.default_rng(4)
+    words = ["aa", "bb", "river", "größe", "x"]
+    net = toxicity._new({"aa": 1, "river": 2})
+    net = net._replace(**{k: (getattr(net, k) + rng.normal(0, 0.3, getattr(net, k).shape)).astype(np.float32) for k in toxicity.PARTS if k != "gram"})
+    offsets = np.array([0, 3, 3, 50, 51])
+    ids = rng.integers(0, len(words), 51).astype(np.int32)
+    start, length, doc = toxicity.windows(offsets)
+    assert sorted({int(i) for s, n in zip(start, length) for i in range(s, s + n)}) == list(range(51)) and set(doc.tolist()) == {0, 2, 3}
+    x, hid = toxicity.inputs(net, words).astype(float), toxicity.HIDDEN
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    want = []
+    for s, n in zip(start, length):
+        states = np.zeros((n, 2 * hid))
+        for d in (0, 1):
+            h = np.zeros(hid)
+            for t in range(n) if d == 0 else reversed(range(n)):
+                p, r = x[ids[s + t]] @ net.wx[d] + net.b[d], h @ net.wh[d]
+                z, rs = sig(p[:hid] + r[:hid]), sig(p[hid : 2 * hid] + r[hid : 2 * hid])
+                h = (1 - z) * np.tanh(p[2 * hid :] + rs * r[2 * hid :]) + z * h
+                states[t, d * hid : (d + 1) * hid] = h
+        e = np.exp(np.tanh(states @ net.att) @ net.query)
+        want.append(sig((e / e.sum()) @ states @ net.out[:-1] + net.out[-1]))
+    assert toxicity.score_windows(net, words, ids, start, length) == pytest.approx(want, abs=1e-5)
+
+
 def test_lm_scores(spark):
     rng = random.Random(4)
     phrase = [("alpha beta gamma delta " * 20).strip() for _ in range(60)]
@@ -347,13 +408,64 @@ def test_decontamination_by_parts(spark, monkeypatch):
     bench = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[20:50])), (3, "other short item"), (4, None)], "item_id bigint, text string")
     df, _ = odd_rows(spark, [(1, "before " + " ".join(words) + " after", "en", "s"), (2, " ".join(words[10:40]) + " other short item", "en", "s"), (3, prose(rng), "en", "s")])
     find = lambda: sorted(tuple(r) for r in decontaminate.contaminated_spans(df, bench).collect())
-    whole, parts = find(), len(decontaminate._benchmark_parts(bench))
-    monkeypatch.setattr(decontaminate, "PATTERN_BYTES", 300)
-    assert parts == 1 and len(decontaminate._benchmark_parts(bench)) == 3
+    whole, parts = find(), len(list(decontaminate._parts(bench)))
+    monkeypatch.setattr(decontaminate, "PATTERN_BYTES", 20)
+    assert parts == 1 and len(list(decontaminate._parts(bench))) == 3
     assert find() == whole and len(whole) == 5
     assert {r[0] for r in decontaminate.keep_clean(df, bench).collect()} == {3, None, 901, 902, 903, 904}
 
 
+def brute_spans(items, text):
+    """Spans by comparing every run of words of the text with every run of every item."""
+    import regex
+
+    split = lambda s: [(m.group().lower(), *m.span()) for m in regex.finditer(r"[\p{L}\p{N}]+", s or "")]
+    words, covered = split(text), {}
+    for item, other in items:
+        own = [w for w, *_ in split(other)]
+        n = min(decontaminate.GRAM, len(own))
+        if n < decontaminate.LEAST_WORDS:
+            continue
+        runs = {tuple(own[i : i + n]) for i in range(len(own) - n + 1)}
+        covered.setdefault(item, set()).update((i, i + n - 1) for i in range(len(words) - n + 1) if tuple(w for w, *_ in words[i : i + n]) in runs)
+    out = []
+    for item, hits in covered.items():
+        merged = []
+        for a, z in sorted(hits):
+            if merged and a <= merged[-1][1] + 1:
+                merged[-1][1] = max(z, merged[-1][1])
+            else:
+                merged.append([a, z])
+        out += [(item, words[a][1], words[z][2]) for a, z in merged]
+    return sorted(out, key=str)
+
+
+def test_decontamination_against_brute_force(spark):
+    rng = random.Random(14)
+    some = lambda n, k=6: " ".join(rng.choice("abcdefghijkl"[:k]) for _ in range(n))  # few words, so that parts of items repeat and overlap
+    items = [(i % 9 if i % 5 else None, some(rng.randrange(0, 60), rng.randrange(1, 12))) for i in range(40)]
+    part = decontaminate.Benchmark()
+    for item, text in items:
+        part.add(item, decontaminate.normalise(pa.array([text]))[0].as_py())
+    found = 0
+    for _ in range(150):
+        text = ", ".join([some(rng.randrange(0, 30), 12), *[items[rng.randrange(40)][1][a : a + rng.randrange(80)] for a in [rng.randrange(40)]], some(rng.randrange(0, 30))])
+        got = sorted(decontaminate.spans(part, decontaminate.normalise(pa.array([text]))[0].as_py(), text), key=str)
+        assert got == brute_spans(items, text)
+        found += len(got)
+    assert found > 50
+
+
+def test_decontamination_null_ids_and_short_items(spark):
+    rng = random.Random(15)
+    leak = " ".join(f"Item{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, f"{prose(rng)} {leak} {prose(rng)}", "en", "s"), (2, "yes, the river ran", "en", "s"), (None, leak, "en", "s")], DOCS)
+    bench = spark.createDataFrame([(None, leak), (7, "yes"), (8, "River ran")], "item_id bigint, text string")
+    got = sorted(map(str, (tuple(r) for r in decontaminate.contaminated_spans(docs, bench).collect())))
+    assert got == sorted(map(str, sql_rows(decontaminate.SQL, documents=docs, benchmark=bench))) and len(got) >= 3
+    assert decontaminate.keep_clean(docs, bench).count() == 0
+
+
 def test_html(spark):
     body = " ".join(["A long sentence of real content stands here."] * 6)
     page = f"<html><head><title>t</title><script>var x = 1;</script></head><body><ul><li><a href='#'>Home</a></li><li><a href='#'>About</a></li></ul><p>{body}</p><p>{body}<br>{body}</p><div><a href='#'>Imprint</a> <a href='#'>Terms</a></div></body>"
@@ -374,6 +486,95 @@ def test_html_unclosed(tag):
     assert [(t, linked) for t, _, linked in lines if t.endswith(body)] == [(body, 0)] * 2
 
 
+def test_html_head_and_endless_markup():
+    import time
+
+    assert html.lines_of("<head><title>T</title>hidden</head><body><p>shown</p></body>") == [("shown", 7, 0)]
+    assert [x for x, *_ in html.lines_of("<head><title>T</title><p>never closed</p>")] == ["never closed"]
+    assert [x for x, *_ in html.lines_of("<p>shown</p><script>var hidden = 1;")] == ["shown"]
+    assert [x for x, *_ in html.lines_of("<p>one</p>2 &lt; 3 <b")] == ["one", "2 < 3 <b"]
+    for piece in ("<a ", "<a/", '<a x="', "<a b=", "<!--", "</", "<?x ", "<div>", "<a href=x>"):
+        began = time.time()
+        html.extract(piece * ((1 << 20) // len(piece)))
+        assert time.time() - began < 15, piece  # a megabyte; each takes far less than this unless the time is quadratic
+
+
+def test_html_against_built_pages():
+    """Pages built from known lines, and the ratios by plain loops."""
+    rng = random.Random(16)
+    for _ in range(30):
+        want, page = [], "<html><head><title>none</title></head><body>"
+        for _ in range(rng.randrange(1, 12)):
+            text, linked = prose(rng, n=rng.randrange(1, 40)), rng.random() < 0.3
+            tag = rng.choice(["p", "div", "li", "h2"])
+            inner = f"<a href='/x'>{text}</a>" if linked else f"<b>{text}</b>" if rng.random() < 0.3 else text
+            page += f"<{tag}>{inner}</{tag}>"
+            want.append((text, len(text) if linked else 0))
+        lines = html.lines_of(page + "</body></html>")
+        assert [(x, n) for x, _, n in lines] == want
+        ratio = [np.log1p(len(x) / max(1, k)) for x, k, _ in lines]
+        weight = lambda d: np.exp(-0.5 * (d / html.SIGMA) ** 2) if abs(d) <= np.ceil(3 * html.SIGMA) else 0.0
+        smooth = [sum(weight(i - j) * v for j, v in enumerate(ratio)) / sum(weight(i - j) for j in range(len(ratio))) for i in range(len(ratio))]
+        assert html.smooth(np.array(ratio)) == pytest.approx(smooth)
+        cut = (min(smooth) + max(smooth)) / 2
+        for _ in range(50):
+            low, high = [x for x in smooth if x < cut], [x for x in smooth if x >= cut]
+            if not low or not high:
+                break
+            cut = (np.mean(low) + np.mean(high)) / 2
+        if max(smooth) - min(smooth) > 1e-9:
+            text, n, k = html.extract(page)
+            kept = [x for (x, _, linked), v in zip(lines, smooth) if v >= cut - 1e-9 and linked <= 0.5 * len(x)]
+            assert n == len(lines) and text == "\n".join(kept) and k == len(kept)
+
+
+def test_language_mixture_held_out_and_plain_em(spark):
+    rng = random.Random(17)
+    draw = lambda lang, n: " ".join(rng.choice(WORDS[lang]) for _ in range(n))
+    train = spark.createDataFrame([(i, draw(lang, 60), lang, "s") for i, lang in enumerate([*WORDS] * 10)], DOCS)
+    model = langid.fit(train)
+    for lang in WORDS:  # texts that were not in the sample
+        texts = [draw(lang, 25) for _ in range(20)]
+        assert all(x == [model.languages.index(lang)] for x in langid.infer(pa.array(texts), model)[0])
+    k = len(model.languages)
+    for _ in range(10):
+        a, b = rng.sample([*WORDS], 2)
+        text = draw(a, 40) + " " + draw(b, rng.randrange(20, 60))
+        languages, shares, unknown, _ = (x[0] for x in langid.infer(pa.array([text]), model))
+        like = []
+        for w in text.lower().split():  # word by word
+            grams, size = langid._trigrams([w.strip(langid.OUTER)])
+            like.append([np.exp(sum(model.table[j][g] for g in grams)) for j in range(k)] + [2.0 ** (-langid.BITS * int(size[0]))])
+        sources = [*languages, k]
+        p = {j: 1 / len(sources) for j in sources}
+        for _ in range(langid.ITERATIONS):
+            parts = [[p[j] * x[j] for j in sources] for x in like]
+            p = {j: float(np.mean([x[i] / sum(x) for x in parts])) for i, j in enumerate(sources)}
+        assert sorted(languages) == sorted(model.languages.index(x) for x in (a, b))
+        assert [p[j] for j in languages] == pytest.approx(shares, abs=2e-3) and p[k] == pytest.approx(unknown, abs=2e-3)
+
+
+def test_samples_are_exact_and_the_same(spark):
+    from strataframe.llm import sample
+
+    rows = [(i % 700, "ab"[i % 10 == 0]) for i in range(3000)] + [(5, "a")] * 4000 + [(None, "a"), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, lang string")
+    hashes = {r[0]: r[1] for r in df.select("doc_id", F.xxhash64("doc_id")).distinct().collect()}
+    for k in (3, 40, 2000):
+        got = {(r.lang, r.doc_id) for r in sample.smallest_hashes(df, "lang", k).collect()}
+        want = {(lang, i) for lang in "ab" for i in sorted({i for i, x in rows if x == lang and i is not None}, key=lambda i: (hashes[i], i))[:k]}
+        assert got == want
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 0), (3, 1), (4, 1), (4, 1)], "doc_id bigint, toxic int")
+    docs = spark.createDataFrame([(1, "x", None, None), (2, "y", None, None), (2, "z", None, None), (3, "w", None, None), (4, None, None, None)], DOCS)
+    seen = []
+    from unittest import mock
+
+    with mock.patch.object(toxicity, "fit", lambda texts, y: seen.append((texts, y))):
+        for _ in range(2):
+            toxicity.train(docs.repartition(5), labels.repartition(3))
+    assert seen[0] == seen[1] and seen[0][1] == [0, 1] and seen[0][0][0] == "x" and seen[0][0][1] in "yz"
+
+
 def test_language_mixture(spark):
     rng = random.Random(7)
     train = [(i, " ".join(rng.choice(WORDS[lang]) for _ in range(80)), lang, "s") for i, lang in enumerate([*WORDS] * 20)]
@@ -420,6 +621,41 @@ def test_bpe_round_trip(spark):
     assert bpe.encode_documents(empty(spark)).count() == 0
 
 
+def brute_bpe(ranks, text):
+    """Pairs of lowest rank are merged first, in each piece of the pattern."""
+    import regex
+
+    out = []
+    for piece in regex.findall(bpe.PATTERN, text):
+        parts = [bytes([b]) for b in piece.encode()]
+        while True:
+            best = min((ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))) if len(parts) > 1 else (1 << 60, 0)
+            if best[0] == 1 << 60:
+                break
+            i = best[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        out += [ranks[p] for p in parts]
+    return out
+
+
+def test_bpe_against_merges_by_rank(monkeypatch):
+    import base64
+
+    raw = bpe.read_ranks()
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in raw.splitlines() if line)}
+    enc = bpe.encoding(raw)
+    rng = random.Random(18)
+    bits = ["word", "größe", "12a", "x7y", "  ", " \n", "日本語", "🙂", "can't", "!!", "\t", "AB", "é", "1234", "'ll"]
+    monkeypatch.setattr(bpe, "PIECE_CHARS", 30)
+    for _ in range(200):
+        text = "".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randrange(60)))
+        want = brute_bpe(ranks, text)
+        got = [i for p, whole in bpe.pieces(text, 30) for i in (enc._encode_single_piece(p) if whole else enc.encode_ordinary(p))]
+        assert got == want == bpe.encode(enc, text).tolist()
+    for blank in ("a" + " " * 100 + "b", " " * 90, "a" + "\n" * 77, " " * 40 + "\n" * 40 + "x"):
+        assert [i for p, whole in bpe.pieces(blank, 30) for i in (enc._encode_single_piece(p) if whole else enc.encode_ordinary(p))] == brute_bpe(ranks, blank)
+
+
 def test_runs_cover_all_rows():
     b = pa.RecordBatch.from_arrays([pa.array([None, "", "x" * 50, "y", "z" * 9])], names=["text"])
     assert [r for part in tx.runs(b, "text", 10) for r in part.column(0).to_pylist()] == b.column(0).to_pylist()
@@ -437,6 +673,20 @@ def test_pipeline(spark, tmp_path):
     spark.createDataFrame([(1, leak)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert not got.keys() & {50, 51, 52, 53} and len(got) >= 36 and all(r.round_trip for r in got.values())
+    odd = tmp_path / "odd"
+    long = " ".join(f"{rows[0][1]} {i}x" for i in range(900))
+    more = [(60, "", "en", "s"), (61, None, None, None), (None, prose(rng, "de", 90, ["nurhier"]), "de", "s"), (62, long, "en", "s"), (63, rows[3][1], "en", "s"), (63, rows[3][1], "en", "s"), (3, prose(rng, "en", 90, ["elsewhere"]), "en", "s")]
+    wide = spark.createDataFrame(rows + more, DOCS).withColumn("n_chars", F.length("text").cast("bigint")).select("*", F.lit(1).alias("extra"))
+    wide.write.parquet(str(odd / "documents.parquet"))
+    spark.createDataFrame([(1, leak)], "item_id bigint, text string").write.parquet(str(odd / "benchmark.parquet"))
+    docs = spark.read.parquet(str(odd / "documents.parquet")).withColumnRenamed("extra", "TEXT_")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, str(odd))
+        assert kept.columns == docs.columns, name
+        before, docs = docs.count(), kept
+        assert kept.count() <= before
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, str(odd)).collect()
+    assert [r.doc_id for r in last].count(3) == 2 and [r.doc_id for r in last].count(63) == 0 and {None, 62} <= {r.doc_id for r in last} and not {60, 61} & {r.doc_id for r in last}
     nothing = tmp_path / "none"
     d.limit(0).write.parquet(str(nothing / "documents.parquet"))
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(str(nothing / "benchmark.parquet"))
