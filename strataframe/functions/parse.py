@@ -47,6 +47,11 @@ def parse_elevation(c: Column | str) -> Column:
     return _first_number(x, [number + r"[.]m[.]", number + "r.", r"(\d{3,}[.]\d{1,2})(?!\d)", r"(\d{3,})\s*m"])
 
 
+def valid_elevation(c: Column | str) -> Column:
+    """over sea level."""
+    return (F.col(c) if isinstance(c, str) else c) > 0
+
+
 def infer_depth(depth: Column, elevation: Column, terrain: Column) -> Column:
     """A missing depth from the terrain's and the water's elevation."""
     return F.coalesce(depth, F.round(terrain - elevation, 2))

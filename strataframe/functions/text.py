@@ -184,27 +184,31 @@ def _among(words: list[str]):
 
 
 def detect_language(c: Column | str, supported: list[str], default: str = "de", windows: int = 5, words: int = 10) -> Column:
-    """The majority over evenly placed word windows of the language whose function words are met most; ties go to the first by name."""
-    names = sorted(s for s in supported if s in STOP_WORDS)
-    if not names:
-        return F.lit(default)
+    """The majority over word windows of the language whose function words are met most.
 
-    def vote(toks: Column, k: Column) -> Column:
-        at = F.floor(k * F.greatest(F.size(toks) - words, F.lit(0)) / F.lit(max(1, windows - 1))).cast("int")
-
-        def best(part: Column) -> Column:
-            hits = F.array(*[F.struct(F.size(F.filter(part, _among(STOP_WORDS[s]))).alias("n"), F.lit(-i).alias("i"), F.lit(s).alias("lang")) for i, s in enumerate(names)])
-            return _let(F.array_max(hits), lambda h: F.when(h["n"] > 0, h["lang"]))
+    Words stand between blanks. A text is cut into as many equal bins as it has full windows, at most ``windows`` and at
+    least one, and the first ``words`` words of each bin vote; the windows do not overlap. A
+    window without any function word votes for no language, which comes first among equals; ties of
+    languages go to the first by name. No language or an unsupported one gives the default.
+    """
+    names = sorted(STOP_WORDS)
 
-        return _let(F.slice(toks, at + 1, words), best)
+    def best(part: Column) -> Column:
+        part = F.transform(part, lambda w: F.lower(F.regexp_replace(w, r"[\d\p{Punct}]", "")))
+        hits = lambda p: F.array(*[F.struct(F.size(F.filter(p, _among(STOP_WORDS[s]))).alias("n"), F.lit(-i).alias("i"), F.lit(s).alias("lang")) for i, s in enumerate(names)])
+        return _let(part, lambda p: _let(F.array_max(hits(p)), lambda h: F.when(h["n"] > 0, h["lang"]).otherwise("")))
 
     def majority(votes: Column) -> Column:
-        tally = F.array(*[F.struct(F.size(F.filter(votes, _among([s]))).alias("n"), F.lit(-i).alias("i"), F.lit(s).alias("lang")) for i, s in enumerate(names)])
-        return _let(F.array_max(tally), lambda t: F.when(t["n"] > 0, t["lang"]))
+        tally = F.array(*[F.struct(F.size(F.filter(votes, _among([s]))).alias("n"), F.lit(-i).alias("i"), F.lit(s).alias("lang")) for i, s in enumerate(["", *names])])
+        return F.array_max(tally)["lang"]
+
+    def vote(toks: Column) -> Column:
+        k = F.least(F.lit(windows), F.greatest(F.floor(F.size(toks) / words), F.lit(1)).cast("int"))
+        bins = F.floor(F.size(toks) / k).cast("int")
+        return _let(F.transform(F.sequence(F.lit(0), k - 1), lambda i: best(F.slice(toks, i * bins + 1, words))), majority)
 
-    toks = tokenize(F.lower(F.regexp_replace(_col(c), r"[\d\p{Punct}]", " ")))
-    found = _let(toks, lambda t: _let(F.transform(F.sequence(F.lit(0), F.lit(windows - 1)), lambda k: vote(t, k)), majority))
-    return F.coalesce(found, F.lit(default))
+    found = _let(F.split(F.trim(F.regexp_replace(_col(c), " +", " ")), " "), vote)
+    return supported_language(found, supported, default)
 
 
 def supported_language(c: Column | str, supported: list[str], default: str = "de") -> Column:

@@ -1,4 +1,4 @@
-"""Page layout rules (operators W1, W3, W4, W7, W8, W14, H1, H6, H7, O10, O11, J18, J20, J21, F13, F14).
+"""Page layout rules (operators H1, H5, H6, H7, O10, O11, J18, J20, F13).
 
 Pure functions over one page's or column's entries, in reading order. Their results
 depend on the order of processing, so on tables they run through ``sequence.grouped``: one Arrow
@@ -8,72 +8,12 @@ group a page, never more than a page in memory.
 from __future__ import annotations
 
 import math
+from itertools import takewhile
 from statistics import median
 
 import numpy as np
 
 
-def is_line_start(x0: float, before: list[float], after: list[float], height: float) -> bool:
-    """The left edge agrees with at least three of up to three neighbours on either side, or with two and one that is indented from it."""
-    near = [*before[-3:], *after[:3]]
-    exact = sum(abs(x - x0) < 0.2 * height for x in near)
-    indented = sum(0.2 * height <= x - x0 < 2 * height for x in near)
-    return exact >= 3 or (exact >= 2 and indented >= 1)
-
-
-def indentation_affinity(x0: list[float], height: float) -> list[float]:
-    """0 for the first line; 1 while the indentation goes on, -1 where it ends, 0 otherwise. The state of a line depends on the line before."""
-    out, inside = [0.0] * len(x0), False
-    for i in range(1, len(x0)):
-        shift = x0[i] - x0[i - 1]
-        if shift > 0.5 * height:
-            out[i], inside = 1.0, True
-        elif shift < -0.5 * height and inside:
-            out[i], inside = -1.0, False
-        else:
-            out[i] = 1.0 if inside else 0.0
-    return out
-
-
-def affinity(features: list[float], weights: list[float], importance: float | None = None) -> float:
-    """Weighted mean of a line's features times the sidebar kind's importance; the weighted sum where there is no sidebar."""
-    total = sum(f * w for f, w in zip(features, weights))
-    return total if importance is None else total / sum(weights) * importance
-
-
-def split_on_mismatch(intervals: list[tuple[float, float]], sublayers: int = 8) -> list[list[tuple[float, float]]]:
-    """A new part where an interval does not start at the last end and no start within the next ``sublayers`` intervals does."""
-    parts: list[list[tuple[float, float]]] = []
-    for i, iv in enumerate(intervals):
-        if parts and any(abs(parts[-1][-1][1] - s) < 1e-9 for s, _ in intervals[i : i + 1 + sublayers]):
-            parts[-1].append(iv)
-        else:
-            parts.append([iv])
-    return parts
-
-
-def trim_trailing_duplicates(values: list) -> list:
-    """Equal values at the end count once."""
-    n = len(values)
-    while n > 1 and values[n - 1] == values[n - 2]:
-        n -= 1
-    return values[:n]
-
-
-def absorb_skipped(rows: list[dict]) -> list[dict]:
-    """The text of a skipped interval goes to the kept one before it, or to the first kept one."""
-    out, waiting = [], []
-    for r in rows:
-        if not r["skipped"]:
-            out.append(r | {"text": " ".join([*waiting, r["text"]])})
-            waiting = []
-        elif out:
-            out[-1] = out[-1] | {"text": f"{out[-1]['text']} {r['text']}"}
-        else:
-            waiting.append(r["text"])
-    return out
-
-
 def fit_error(y: list[float], v: list[float]) -> float:
     """Mean squared error of the straight line of values over positions."""
     if len(set(y)) < 2:
@@ -95,12 +35,6 @@ def is_column_valid(y: list[float], v: list[float], noise: int = 0) -> bool:
     return float(np.corrcoef(y, v)[0, 1]) > 0.95
 
 
-def are_intervals_linked(intervals: list[tuple[float, float]]) -> bool:
-    """over one interval, and at least half of them begin where the one before ends."""
-    links = [a[1] == b[0] for a, b in zip(intervals, intervals[1:])]
-    return len(intervals) > 1 and sum(links) >= 0.5 * len(links)
-
-
 def reduce_to_valid(y: list[float], v: list[float], noise: int = 0) -> tuple[list[float], list[float]] | None:
     """While the column is not valid, leaves out the entry without which the fit is best (the first of equals); None under three entries."""
     y, v = list(y), list(v)
@@ -122,47 +56,132 @@ def repair_decimals(y: list[float], v: list[float], has_decimal: list[bool]) ->
     return v
 
 
-def interval_hierarchy(intervals: list[tuple[float, float | None]]) -> list[str]:
-    """H6: ``parent`` where following intervals part it exactly, ``sub`` for a run inside an earlier one, else ``plain``; each to a fixpoint."""
-    kind = ["plain"] * len(intervals)
-    active = lambda: [i for i in range(len(intervals)) if kind[i] == "plain"]
-
-    def parted(i: int, rest: list[int]) -> bool:
-        (s, e), at = intervals[i], intervals[i][0]
-        for n, j in enumerate(rest):
-            if e is None or intervals[j][0] != at or intervals[j][1] is None or intervals[j][1] > e:
-                return False
-            at = intervals[j][1]
-            if at == e:
-                return n > 0
+Interval = tuple[float, float | None]
+
+
+def holds(outer: Interval, inner: Interval) -> bool:
+    """Bounds included; without an end the outer one holds everything, and of an inner one the start decides."""
+    (s, e), (a, z) = outer, inner
+    return e is None or (s <= a <= e and (z is None or s <= z <= e))
+
+
+def parts_exactly(outer: Interval, following: list[Interval]) -> bool:
+    """Whether the following intervals, those without an end aside, join up from the start of the outer one to its end."""
+    at, end = outer
+    if end is None:
         return False
+    for a, z in following:
+        if z is None:
+            continue
+        if a != at or z > end:
+            return False
+        if z == end:
+            return True
+        at = z
+    return False
 
-    changed = True
-    while changed:
-        changed = False
-        live = active()
-        for k, i in enumerate(live):
-            if parted(i, live[k + 1 :]):
-                kind[i], changed = "parent", True
-                break
-    changed = True
-    while changed:
-        changed = False
-        live = active()
-        for k, i in enumerate(live):
-            s, e = intervals[i]
-            run = []
-            for j in live[k + 1 :]:
-                a, z = intervals[j]
-                if not (a >= s and (e is None or (z is not None and z <= e)) and (a, z) != (s, e)) or e is None:
-                    break
-                run.append(j)
+
+def interval_hierarchy(intervals: list[Interval]) -> list[str]:
+    """H6: ``parent`` where the following live intervals part it exactly, then ``sub`` for the run of live ones inside an earlier one, else ``plain``; the first that applies is marked, until none does."""
+    kind = ["plain"] * len(intervals)
+    live = lambda: [i for i, k in enumerate(kind) if k == "plain"]
+    while True:
+        now = live()
+        at = next((i for k, i in enumerate(now) if parts_exactly(intervals[i], [intervals[j] for j in now[k + 1 :]])), None)
+        if at is None:
+            break
+        kind[at] = "parent"
+    while True:
+        now, run = live(), []
+        for k, i in enumerate(now):
+            run = list(takewhile(lambda j: holds(intervals[i], intervals[j]), now[k + 1 :]))  # noqa: B023
             if run:
-                for j in run:
-                    kind[j] = "sub"
-                changed = True
                 break
-    return kind
+        if not run:
+            return kind
+        for j in run:
+            kind[j] = "sub"
+
+
+Rect = tuple[float, float, float, float]
+
+
+def _fits(start: Rect, end: Rect, r: Rect) -> tuple[float, float] | None:
+    """The left and right edge that a box at the height of ``r`` would have between ``start`` and ``end``; None at one height."""
+    y0, y1, y = (start[1] + start[3]) / 2, (end[1] + end[3]) / 2, (r[1] + r[3]) / 2
+    if y0 == y1:
+        return None
+    t = (y - y0) / (y1 - y0)
+    return start[0] + t * (end[0] - start[0]), start[2] + t * (end[2] - start[2])
+
+
+def _shared(a: float, b: float, r: Rect, level: float, larger: bool) -> bool:
+    return max(0.0, min(b, r[2]) - max(a, r[0])) > level * (max if larger else min)(b - a, r[2] - r[0])
+
+
+def is_misaligned(rects: list[Rect]) -> bool:
+    """Whether boxes half a column apart, made equally wide, leave out more than their share of the others."""
+    n = len(rects)
+    if n <= 2:
+        return False
+    outside = checks = 0
+    for i in range(n // 2):
+        j = i + n // 2
+        wide, thin = (rects[j], rects[i]) if rects[j][2] - rects[j][0] > rects[i][2] - rects[i][0] else (rects[i], rects[j])
+        w = wide[2] - wide[0]
+        if thin[0] < wide[0]:
+            thin = (thin[0], thin[1], thin[0] + w, thin[3])
+        elif thin[2] > wide[2]:
+            thin = (thin[2] - w, thin[1], thin[2], thin[3])
+        else:
+            thin = (wide[0], thin[1], wide[2], thin[3])
+        for k, r in enumerate(rects):
+            if k not in (i, j):
+                at = _fits(wide, thin, r)
+                outside += at is not None and not _shared(*at, r, 0.4, False)
+                checks += 1
+    return outside / checks > 1 / n
+
+
+def alignment_clusters(rects: list[Rect], pairs: bool = False, skew: float = 5.0) -> list[list[int]]:
+    """H5: columns of boxes in reading order, as lists of their numbers; a box can be in several.
+
+    Every box is tried as the top of a column and, from the last on, every later one as its bottom, if their middles, left
+    or right edges lie within ``skew`` degrees of the vertical and no column has both as perfect fits. Boxes between join
+    if they lie within the edges interpolated between the two (a perfect fit), or nearly so. A column needs such a box (unless
+    ``pairs``), must not lie within an earlier one, and must not be misaligned.
+    """
+    n, found = len(rects), []
+    perfect: list[set[int]] = [set() for _ in rects]
+    member: list[set[int]] = [set() for _ in rects]
+    for i in range(n):
+        for j in range(n - 1, i, -1):
+            a, b = rects[i], rects[j]
+            if perfect[i] & perfect[j]:
+                continue
+            dy = abs((b[1] + b[3]) - (a[1] + a[3])) / 2
+            dxs = (abs((b[0] + b[2]) - (a[0] + a[2])) / 2, abs(b[0] - a[0]), abs(b[2] - a[2]))
+            if not any(dx == 0 or math.degrees(math.atan2(dy, dx)) >= 90 - skew for dx in dxs):
+                continue
+            margin, between, exact = (a[3] - a[1] + b[3] - b[1]) / 4, [], []
+            for k in range(i + 1, j):
+                at, r = _fits(a, b, rects[k]), rects[k]
+                if at is None:
+                    continue
+                if at[0] <= r[0] and r[2] <= at[1]:
+                    between.append(k)
+                    exact.append(k)
+                elif (at[0] - margin < r[0] and r[2] < at[1] + margin and _shared(*at, r, 0.01, True)) or _shared(*at, r, 0.2, True):
+                    between.append(k)
+            column = [i, *between, j]
+            if not (between or pairs) or set.intersection(*[member[k] for k in column]) or is_misaligned([rects[k] for k in column]):
+                continue
+            for k in (i, *exact, j):
+                perfect[k].add(len(found))
+            for k in column:
+                member[k].add(len(found))
+            found.append(column)
+    return found
 
 
 Segment = tuple[float, float, float, float]
@@ -220,24 +239,30 @@ def pair_depths(words: list[tuple[float, float, float]], max_gap: float, max_dy:
     return out
 
 
-def pair_diagonals(entries: list[float], ends: list[float], height: float) -> dict[int, int]:
-    """Entries and diagonal ends by rising distance, each once, up to the mean height; then pairs that would cross an earlier one go."""
-    found: dict[int, int] = {}
-    for d, i, j in sorted((abs(e - z), i, j) for i, e in enumerate(entries) for j, z in enumerate(ends)):
-        if d > height:
+def entry_shifts(entries: list[tuple[float, float]], diagonals: list[tuple[float, float]]) -> list[float]:
+    """How far each entry (top, bottom) is moved by a diagonal (height of its start, of its end).
+
+    The closest entry and diagonal are paired, each once, until their distance is over the mean height; then, downwards, an
+    entry that would come before half of the one above is moved down to it.
+    """
+    shift = [0.0] * len(entries)
+    mean = sum(b - a for a, b in entries) / len(entries) if entries else 0.0
+    used_e, used_d = set(), set()
+    for d, i, j in sorted((abs((a + b) / 2 - y), i, j) for i, (a, b) in enumerate(entries) for j, (y, _) in enumerate(diagonals)):
+        if i in used_e or j in used_d:
+            continue
+        if d > mean:
             break
-        if i not in found and j not in found.values():
-            found[i] = j
-    kept, last = {}, -math.inf
-    for i in sorted(found, key=lambda i: entries[i]):
-        if ends[found[i]] >= last:
-            kept[i], last = found[i], ends[found[i]]
-    return kept
-
-
-def zip_labels(xs: list[float], ys: list[float]) -> list[tuple[float, float]]:
-    """The i-th X with the i-th Y."""
-    return list(zip(xs, ys))
+        used_e.add(i)
+        used_d.add(j)
+        shift[i] = diagonals[j][1] - diagonals[j][0]
+    last = 0.0
+    for i, (a, b) in enumerate(entries):
+        half = (b - a) / 2
+        if last - half > a + shift[i]:
+            shift[i] = last - a - half
+        last = b + shift[i]
+    return shift
 
 
 def description_columns(lines: list[tuple[float, float]], bad: list[bool], ratio: float = 0.15) -> list[list[int]]:

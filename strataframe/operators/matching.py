@@ -122,6 +122,22 @@ def align_zones(scores: list[list[float]], bonus: list[float], penalty: float =
     return d[n][m] / max(n, m), sorted(found.items())
 
 
+def align_zone_lines(zones: DataFrame, lines: DataFrame, bonus: DataFrame, kind: str) -> DataFrame:
+    """J4 on tables: ``(page, zone, id)``, the zone of every line, from zones as ``page.zones`` gives them, lines with boxes and ``(page, id, bonus)``; a zone that stays empty between others has a null line."""
+    from strataframe.operators.page import zone_score
+
+    pairs = zones.join(lines, "page").join(bonus, ["page", "id"])
+    scored = pairs.select("page", "zone", "id", "bonus", zone_score(kind, G.box("s_"), G.box("e_"), G.box()).alias("score"))
+
+    def fold(rows: list[dict]) -> list[dict]:
+        zone, line = sorted({r["zone"] for r in rows}), sorted({r["id"] for r in rows})
+        score, gain = {(r["zone"], r["id"]): r["score"] for r in rows}, {r["id"]: r["bonus"] for r in rows}
+        _, found = align_zones([[score[z, i] for i in line] for z in zone], [gain[i] for i in line])
+        return [{"page": rows[0]["page"], "zone": zone[k], "id": i} for k, mine in found for i in ([line[j] for j in mine] or [None])]
+
+    return grouped(scored, ["page"], ["zone", "id"], fold, "page bigint, zone bigint, id bigint")
+
+
 def layer_score(p: dict, t: dict, kind: str = "layer") -> float:
     """Half a point a depth bound that is equal (nulls are equal), a point for texts alike to 0.9; "layer" needs the mean of both."""
     eq = lambda a, b: 0.5 if a == b else 0.0

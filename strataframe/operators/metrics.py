@@ -109,12 +109,25 @@ def linear_fit(df: DataFrame, x: str, y: str, *by: str) -> DataFrame:
 
 
 def class_weights(df: DataFrame, cls: str, low: float = 0.5, high: float = 2.0) -> DataFrame:
-    """Inverse frequencies scaled to [low, high]."""
-    n = df.groupBy(cls).agg(F.count("*").alias("n"))
+    """Inverse frequencies of the class numbers 0 to the largest, scaled so that the classes met fill [low, high].
+
+    A class that is not met has the raw weight 0 and so falls under ``low``. If all that are met are
+    equally frequent, every weight is 1.
+    """
+    n = df.groupBy(F.col(cls).cast("bigint").alias(cls)).agg(F.count("*").alias("n"))
     w = n.withColumn("w", 1.0 / F.col("n"))
-    ends = w.agg(F.min("w").alias("a"), F.max("w").alias("z"))
-    scaled = low + (high - low) * share(F.col("w") - F.col("a"), F.col("z") - F.col("a"))
-    return w.crossJoin(F.broadcast(ends)).select(cls, "n", scaled.alias("weight"))
+    ends = w.agg(F.max(cls).alias("__k"), F.min("w").alias("a"), F.max("w").alias("z"))
+    every = ends.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__k"))).alias(cls), "a", "z")  # a row a class
+    raw = F.coalesce("w", F.lit(0.0))
+    scaled = F.when(F.col("z") > F.col("a"), low + (high - low) * F.try_divide(raw - F.col("a"), F.col("z") - F.col("a"))).otherwise(F.lit(1.0))
+    return every.join(w, cls, "left").select(cls, F.coalesce("n", F.lit(0)).alias("n"), scaled.alias("weight"))
+
+
+def file_counts(df: DataFrame, prefix: str) -> DataFrame:
+    """Scores a file and the derived counts, all under a prefix: ``num_total`` (tp + fn), ``num_wrong`` (fp) and ``num_detected`` (tp + fp)."""
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    d = with_scores(df).withColumns({"num_total": tp + fn, "num_wrong": fp, "num_detected": tp + fp})
+    return d.select("filename", *[F.col(c).alias(f"{prefix}_{c}") for c in ("f1", "recall", "precision", "num_total", "num_wrong", "num_detected")])
 
 
 def matched_counts(values: DataFrame, truth: DataFrame, value: str, *by: str) -> DataFrame:

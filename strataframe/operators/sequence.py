@@ -64,10 +64,14 @@ def nearest_prior(left: DataFrame, right: DataFrame, by: list[str], at: str, rig
 
 
 def contained_run(df: DataFrame, by: list[str], order: list[str], start: str, end: str) -> DataFrame:
-    """Adds ``run``: how many of the intervals that follow directly lie inside this one (an open end holds all)."""
+    """Adds ``run``: how many of the intervals that follow directly lie inside this one, bounds included.
+
+    An interval without an end holds all that follow; a following one without an end lies inside if its start does.
+    """
     key = F.struct(*order)
     g = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(key.alias("o"), F.col(start).alias("s"), F.col(end).alias("e"), F.struct(*df.columns).alias("row")))).alias("a"))
-    inside = lambda x, y: F.coalesce((y["s"] >= x["s"]) & (x["e"].isNull() | (y["e"] <= x["e"])), F.lit(False))
+    within = lambda x, v: (v >= x["s"]) & (v <= x["e"])
+    inside = lambda x, y: x["e"].isNull() | F.coalesce(within(x, y["s"]) & (y["e"].isNull() | within(x, y["e"])), F.lit(False))
 
     def run(x: Column, i: Column) -> Column:
         rest = F.slice(F.col("a"), i + 2, F.size("a"))

@@ -109,7 +109,7 @@ def confusion_stats(spark, sf):
 @query("""with s as (select source, round(avg(n_chars), 6) as mean_chars, count(*)::bigint as docs from documents group by source)
 select * from s union all select 'mean', round(avg(mean_chars), 3), sum(docs)::bigint from s""")
 def benchmark_summary(spark, sf):
-    """G8, G9, U1."""
+    """G9, U1."""
     d = read(spark, sf, "documents").groupBy("source").agg(F.round(F.avg("n_chars"), 6).alias("mean_chars"), F.count("*").alias("docs"))
     return metrics.benchmark_summary(d, "source", ["mean_chars"], "docs")
 
@@ -128,17 +128,10 @@ def metric_frame_join(spark, sf):
     return metrics.join_frames("truth", p.groupBy("truth").agg(F.count("*").alias("support")), p.groupBy(F.col("predicted").alias("truth")).agg(F.count("*").alias("predicted")))
 
 
-@query("""with n as (select o_orderpriority as class, count(*)::bigint as n from orders group by 1), w as (select class, n, 1.0::double / n as w from n), e as (select min(w) as a, max(w) as z from w)
-select class, n, round(0.5 + 1.5 * case when z > a then (w - a) / (z - a) else 0 end, 6) as weight from w, e""")
-def class_weights(spark, sf):
-    """G18."""
-    return metrics.class_weights(read(spark, sf, "orders").select(F.col("o_orderpriority").alias("class")), "class").withColumn("weight", F.round("weight", 6))
-
-
 @query("""with v as (select l_suppkey, l_quantity, count(*) filter (l_returnflag = 'A') as p, count(*) filter (l_returnflag = 'R') as t from lineitem group by 1, 2)
 select l_suppkey, sum(least(p, t))::bigint as tp, sum(p - least(p, t))::bigint as fp, sum(t - least(p, t))::bigint as fn from v where p + t > 0 group by 1""")
 def matched_counts(spark, sf):
-    """Each true value serves one prediction."""
+    """Each true value serves one prediction."""
     li = read(spark, sf, "lineitem").select("l_suppkey", "l_quantity", "l_returnflag")
     return metrics.matched_counts(li.filter("l_returnflag = 'A'"), li.filter("l_returnflag = 'R'"), "l_quantity", "l_suppkey")
 
@@ -179,7 +172,7 @@ def normalize_text(spark, sf):
 @query(r"""with n as (select c_custkey, 'Nr. ' || c_name || ' 1:' || c_nationkey || ' (' || c_mktsegment || ')' as raw from customer)
 select c_custkey, nullif(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(raw, '(?i)^nr\.', ''), '(?i)1\s?:\s?\d+', '', 'g'), '\([^)]*\)', '', 'g'), '[:._]', ' ', 'g'), '\s+', ' ', 'g')), '') as name from n""")
 def clean_names(spark, sf):
-    """T2, T6, T7, F12."""
+    """T2, T6, T7."""
     raw = F.expr("'Nr. ' || c_name || ' 1:' || c_nationkey || ' (' || c_mktsegment || ')'")
     return read(spark, sf, "customer").select("c_custkey", T.clean_name(raw, ["nr."]).alias("name"))
 
@@ -221,7 +214,7 @@ def number_extract(spark, sf):
 @query("""with w as (select *, lag(ts) over (partition by user_id order by ts, event_id) as before from events)
 select event_id, user_id, (sum(case when before is not null and ts > before + interval 6 hour then 1 else 0 end) over (partition by user_id order by ts, event_id rows unbounded preceding))::bigint as block from w""")
 def session_blocks(spark, sf):
-    """W5."""
+    """The blocks of W5 with the caller's break."""
     e = read(spark, sf, "events")
     w = F.expr("ts > lag(ts) over (partition by user_id order by ts, event_id) + interval 6 hours")
     return sequence.session_blocks(e.withColumn("gap", w), ["user_id"], ["ts", "event_id"], F.col("gap")).select("event_id", "user_id", "block")
@@ -250,7 +243,7 @@ def depth_intervals(spark, sf):
 @query("""with r as (select user_id, ts, max(value) as value from events where event_type = (select min(event_type) from events) group by 1, 2), l as (select * from events where event_type <> (select min(event_type) from events))
 select l.event_id, r.value as prior from l asof left join r on l.user_id = r.user_id and l.ts >= r.ts""")
 def nearest_prior(spark, sf):
-    """J19, J22."""
+    """The latest value before a time, as an as-of join."""
     e = read(spark, sf, "events")
     first = e.agg(F.min("event_type").alias("m"))
     e = e.join(F.broadcast(first), how="cross")  # one row
@@ -275,7 +268,7 @@ def dedupe_by_key(spark, sf):
 
 @query("""select o_custkey, o_orderkey, o_totalprice from (select *, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderdate desc, o_orderkey) as r from orders) where r = 1""")
 def best_choice(spark, sf):
-    """O5-O9."""
+    """O5."""
     return sequence.best_choice(read(spark, sf, "orders"), ["o_custkey"], F.desc("o_totalprice"), F.desc("o_orderdate"), F.col("o_orderkey")).select("o_custkey", "o_orderkey", "o_totalprice")
 
 
@@ -296,7 +289,7 @@ def reference_resolution(spark, sf):
 @query(f"""with b as ({BOX_SQL}) select page, id, round(sqrt(power(x1 - x0, 2) + power(y1 - y0, 2)), 6) as length, round((y1 - y0) / (x1 - x0), 6) as slope, round(degrees(atan((y1 - y0) / (x1 - x0))), 6) as angle,
 round(x0 + (50 - y0) * (x1 - x0) / (y1 - y0), 6) as x_at_50, round(abs((y1 - y0) * 100 - (x1 - x0) * 50 + x1 * y0 - y1 * x0) / sqrt(power(x1 - x0, 2) + power(y1 - y0, 2)), 6) as distance, abs((y1 - y0) / (x1 - x0)) <= 0.5 as flat from b""")
 def segment_maths(spark, sf):
-    """P4-P6, F1, F4."""
+    """P5, F1."""
     b = G.box()
     r = lambda c, n: F.round(c, 6).alias(n)
     return boxes(spark, sf).select(
@@ -310,7 +303,7 @@ PAIRS_SQL = f"with b as ({BOX_SQL}), j as (select a.*, b.id as r_id, b.x0 as bx0
 @query(PAIRS_SQL + """ select page, id, r_id, round(least(x1, bx1) - greatest(x0, bx0), 6) as x_shared, round(least(y1, by1) - greatest(y0, by0), 6) as y_shared,
 least(x1, bx1) - greatest(x0, bx0) > 0.5 * least(x1 - x0, bx1 - bx0) as wide, x0 <= bx0 and y0 <= by0 and x1 >= bx1 and y1 >= by1 as holds from j""")
 def range_join_boxes(spark, sf):
-    """J1-J3, J16, P1, P2, F8."""
+    """J1, P1, P2."""
     b = boxes(spark, sf)
     a, o = G.box(), G.box("r_")
     j = matching.range_join(b, b.select("page", "id", "x0", "y0", "x1", "y1"), ["page"]).filter("id < r_id")
@@ -320,7 +313,7 @@ def range_join_boxes(spark, sf):
 @query(f"""with b as ({BOX_SQL}), k as (select * from b where id = 1), n as (select page, x0 - 2 * (x1 - x0) as x0, y0, x1 + 10 * (x1 - x0) as x1, y1 from k union all select page, x0, y0, x1, y1 + 3 * (y1 - y0) from k)
 select distinct b.page, b.id as line from n join b on n.page = b.page and n.x0 < b.x1 and b.x0 < n.x1 and n.y0 < b.y1 and b.y0 < n.y1""")
 def near_lines(spark, sf):
-    """J2, U1, D8."""
+    """J2, U1."""
     b = boxes(spark, sf)
     return matching.near_lines(b.filter("id = 1"), b, ["page"], 2, 10, 3, 0).select("page", F.col("r_id").alias("line"))
 
@@ -331,7 +324,7 @@ union all select o.page, o.k, case when len(list_filter(f.kept, lambda z: z.x0 <
 else list_append(f.kept, {{'id': o.id, 'x0': o.x0, 'y0': o.y0, 'x1': o.x1, 'y1': o.y1, 'score': o.score}}) end from f join o on o.page = f.page and o.k = f.k + 1),
 l as (select page, unnest(arg_max(kept, k)) as z from f group by page) select page, z.id as id, z.score as score, z.x0 as x0, z.y0 as y0, z.x1 as x1, z.y1 as y1 from l""")
 def nms_boxes(spark, sf):
-    """O1-O3."""
+    """O1, O2."""
     return matching.suppress(boxes(spark, sf), ["page"], "score", "id")
 
 
@@ -345,7 +338,7 @@ def keep_longest(spark, sf):
 @query(PAIRS_SQL.replace("with b", "with recursive b") + """, e as (select page * 1000 + id as u, page * 1000 + r_id as v from j), bi as (select u, v from e union select v, u from e),
 r as (select u as node, u as seen from bi union select r.node, bi.v from r join bi on r.seen = bi.u) select node, min(seen) as component from r group by node""")
 def components(spark, sf):
-    """H2-H4: boxes that intersect, directly or over others."""
+    """The components of H2-H4: boxes that intersect, directly or over others."""
     b = boxes(spark, sf)
     e = matching.range_join(b, b, ["page"]).filter("id < r_id").selectExpr("page * 1000 + id as src", "page * 1000 + r_id as dst")
     return connected_components(e)
@@ -362,7 +355,7 @@ def outer_rectangles(spark, sf):
 d as (select p.page, p.id as point, t.id as box, sqrt(power(greatest(0, x0 - px, px - x1), 2) + power(greatest(0, y0 - py, py - y1), 2)) as distance from p join t using (page))
 select page, point, box, round(distance, 6) as distance from (select *, row_number() over (partition by page, point order by distance, box) as r from d) where r = 1""")
 def nearest_box(spark, sf):
-    """J9, J10."""
+    """J9."""
     b = boxes(spark, sf)
     pts = b.filter("id > 2").selectExpr("page", "id as point", "(x0 + x1) / 2 as px", "(y0 + y1) / 2 as py")
     return matching.nearest(pts, b.filter("id <= 2").selectExpr("page", "id as box", "x0", "y0", "x1", "y1"), ["page"], "point", "box").withColumn("distance", F.round("distance", 6))
@@ -426,7 +419,7 @@ def interval_hierarchy(spark, sf):
 @query(f"""with i as (select l_orderkey as page, pos, l_quantity as v, lag(l_quantity) over (partition by l_orderkey order by pos) as before from {ITEMS_SQL})
 select page, count(*)::bigint as n, count(*) >= 3 and bool_and(before is null or v > before) and round(case when stddev_pop(v) > 0 and stddev_pop(pos) > 0 then corr(pos, v) else 0 end, 9) > 0.95 as valid from i group by page""")
 def column_validity(spark, sf):
-    """at least three entries, rising, correlated with their position."""
+    """F13 without its noise limit: at least three entries, rising, correlated with their position."""
     w = F.expr("lag(l_quantity) over (partition by l_orderkey order by pos)")
     d = items(spark, sf).withColumn("before", w)
     rising = F.bool_and(F.col("before").isNull() | (F.col("l_quantity") > F.col("before")))
@@ -447,12 +440,6 @@ def fuzzy_keys(spark, sf):
     return read(spark, sf, "part").select("p_brand").distinct().select("p_brand", fuzzy.fuzzy_key("p_brand", ["Brant", "Barnd"]).alias("key"))
 
 
-@query(None)
-def detected_language(spark, sf):
-    """Majority over word windows."""
-    return read(spark, sf, "documents").filter("text is not null").select("doc_id", T.detect_language("text", LANGUAGES).alias("language"))
-
-
 PATTERNS = {"river": [["the", "river"]], "house": [["house"], ["maison"]]}
 
 
