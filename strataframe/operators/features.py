@@ -62,6 +62,14 @@ def below_header(columns: DataFrame, headers: DataFrame, gap: float = 40.0, leve
     return columns.join(h, (F.col("page") == F.col("h_page")) & (b.y1 <= a.y0) & (a.y0 - b.y1 <= gap) & G.x_overlap_significant(a, b, level), "left_semi")
 
 
+def noise_counts(sidebars: DataFrame, lines: DataFrame, entries: DataFrame, level: float = 0.25) -> DataFrame:
+    """``(page, id, noise)``: lines with a letter or digit that meet the sidebar's box, share over ``level`` of the smaller width with it and touch none of its entries."""
+    words = unused(lines.filter(F.col("text").rlike(r"[\p{L}\p{N}]")), entries)
+    j = range_join(sidebars.select("page", "id", "x0", "y0", "x1", "y1"), words.select("page", "x0", "y0", "x1", "y1"), ["page"], lambda a, b: G.x_overlap_significant(a, b, level))
+    n = j.groupBy("page", "id").agg(F.count("*").alias("noise"))
+    return sidebars.select("page", "id").join(n, ["page", "id"], "left").withColumn("noise", F.coalesce("noise", F.lit(0)))
+
+
 def unused(entries: DataFrame, used: DataFrame) -> DataFrame:
     """U4: entries that intersect none of the boxes already used on their page."""
     u = used.select(F.col("page").alias("u_page"), *[F.col(c).alias(f"u_{c}") for c in ("x0", "y0", "x1", "y1")])

@@ -39,6 +39,16 @@ def range_join(left: DataFrame, right: DataFrame, by: list[str], condition: Call
     return j.filter(home & G.intersects(a, b) & condition(a, b)).select(*left.columns, *r.columns)
 
 
+def segments_near(boxes: DataFrame, segments: DataFrame, margin: float, cell: float = CELL) -> DataFrame:
+    """``(page, id, segment)``: the segments with an end within ``margin`` of a box, bounds included; an end stands in one grid cell, a widened box in all it touches."""
+    cells = lambda lo, hi: F.sequence(F.floor((F.col(lo) - margin) / cell), F.floor((F.col(hi) + margin) / cell))
+    wide = boxes.select("page", "id", "x0", "y0", "x1", "y1").withColumn("cx", F.explode(cells("x0", "x1"))).withColumn("cy", F.explode(cells("y0", "y1")))
+    ends = segments.select("page", F.col("id").alias("segment"), F.explode(F.array(F.struct(F.col("x0").alias("x"), F.col("y0").alias("y")), F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")))).alias("p"))
+    ends = ends.select("page", "segment", "p.x", "p.y").withColumns({"cx": F.floor(F.col("x") / cell), "cy": F.floor(F.col("y") / cell)})
+    near = F.col("x").between(F.col("x0") - margin, F.col("x1") + margin) & F.col("y").between(F.col("y0") - margin, F.col("y1") + margin)
+    return wide.join(ends, ["page", "cx", "cy"]).filter(near).select("page", "id", "segment").distinct()
+
+
 def near_lines(keys: DataFrame, lines: DataFrame, by: list[str], left: float, right: float, below: float, above: float) -> DataFrame:
     """Lines that intersect the key's band, widened by factors of its width to both sides, or of its height up and down."""
     a = G.box()

@@ -111,6 +111,16 @@ def flatten(df: DataFrame, separator: str = "__") -> DataFrame:
     return df.select(*walk(df.schema.fields, ()))
 
 
+def nested_value(df: DataFrame, entry: str, keys: list[str]) -> Column:
+    """A2: the value at a path of keys inside a struct column; null where the schema has no such path."""
+    at, kind = F.col(entry), df.schema[entry].dataType
+    for k in keys:
+        if kind.typeName() != "struct" or k not in kind.names:
+            return F.lit(None)
+        at, kind = at.getField(k), kind[k].dataType
+    return at
+
+
 def split_files(df: DataFrame, key: str = "file", shares: tuple[float, float] = (0.8, 0.9), seed: int = 42) -> DataFrame:
     """Adds ``part`` (train, validation or test) by a hash of the key, so a file is never parted and reruns agree."""
     u = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) / 1_000_000

@@ -84,7 +84,8 @@ def test_zone_alignment_against_all_assignments():
         score = [[rng.random() for _ in range(m)] for _ in range(n)]
         bonus = [0.0] + [rng.uniform(-1, 1) for _ in range(m - 1)]  # the first line has none before it
         best = max(
-            sum(score[z][j] + (bonus[j] if j and ways[j - 1] == z else 0) for j, z in enumerate(ways)) - 0.2 * (n - len(set(ways)))
+            # a line may open a zone, or join it where it was passed over as empty, for the penalty and its bonus
+            sum(score[z][j] + (bonus[j] if j and ways[j - 1] == z else max(0, bonus[j] - 0.2)) for j, z in enumerate(ways)) - 0.2 * (n - len(set(ways)))
             for ways in itertools.product(range(n), repeat=m)
             if list(ways) == sorted(ways)
         )
