@@ -392,3 +392,14 @@ def layered_groups(layers: DataFrame, by: list[str], kind: str = "kind", text: s
 def depth_complete(start: Column, end: Column) -> Column:
     """both bounds are known."""
     return start.isNotNull() & end.isNotNull()
+
+
+def legend_blocks(lines: DataFrame, order: str = "id") -> DataFrame:
+    """``(page, legend)``: of the lines of one word without punctuation, over one has the top, or over two the left edge, of an earlier one (to under 1)."""
+    word = ~F.col("text").rlike("[ .,;:!?]")
+    near = lambda c: F.exists("before", lambda b: F.abs(b[c] - F.col(c)) < 1)
+    earlier = Window.partitionBy("page").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    d = lines.select("page", order, "x0", "y0", word.alias("word"))
+    d = d.withColumn("before", F.collect_list(F.when(F.col("word"), F.struct("x0", "y0"))).over(earlier))
+    hit = lambda c: F.count_if(F.col("word") & near(c))
+    return d.groupBy("page").agg(((hit("y0") > 1) | (hit("x0") > 2)).alias("legend"))
