@@ -403,3 +403,63 @@ def legend_blocks(lines: DataFrame, order: str = "id") -> DataFrame:
     d = d.withColumn("before", F.collect_list(F.when(F.col("word"), F.struct("x0", "y0"))).over(earlier))
     hit = lambda c: F.count_if(F.col("word") & near(c))
     return d.groupBy("page").agg(((hit("y0") > 1) | (hit("x0") > 2)).alias("legend"))
+
+
+def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(page, id, group)``: the smallest id that edges ``page, id, r_id`` connect each node with; ids are under 2^20 a page."""
+    from strataframe.operators.graph import connected_components
+
+    code = lambda c: F.shiftleft(F.col("page"), 20) + F.col(c)
+    c = connected_components(edges.select(code("id").alias("src"), code("r_id").alias("dst")))
+    low = lambda x: F.col(x).bitwiseAND((1 << 20) - 1)
+    named = c.select(F.shiftright("node", 20).alias("page"), low("node").alias("id"), low("component").alias("group"))
+    return nodes.select("page", "id").join(named, ["page", "id"], "left").withColumn("group", F.coalesce("group", "id"))
+
+
+def table_regions(lines: DataFrame, reach: float = 8.0) -> DataFrame:
+    """H2: ``(page, id, region)`` of ``structure_lines``: lines that cross, or one of which has an end within ``reach`` of the other, are connected; regions with lines of both directions."""
+    from strataframe.operators.matching import range_join
+
+    seg = F.struct(*SIDES).alias("seg")
+    wide = lines.select("page", "id", seg, (F.col("x0") - reach).alias("x0"), (F.least("y0", "y1") - reach).alias("y0"), (F.col("x1") + reach).alias("x1"), (F.greatest("y0", "y1") + reach).alias("y1"))
+    j = range_join(wide, wide, ["page"]).filter("id < r_id")
+    a, b = _box(F.col("seg")), _box(F.col("r_seg"))
+    near = lambda s, x, y: G.distance_to_segment(s, x, y) <= reach
+    meets = G.segments_intersect(a, b) | near(a, b.x0, b.y0) | near(a, b.x1, b.y1) | near(b, a.x0, a.y0) | near(b, a.x1, a.y1)
+    found = lines.join(_components(lines, j.filter(meets)), ["page", "id"])
+    w = Window.partitionBy("page", "group")
+    both = (F.max(F.col("is_vertical").cast("int")).over(w) == 1) & (F.min(F.col("is_vertical").cast("int")).over(w) == 0)
+    return found.withColumn("__b", both).filter("__b").select("page", "id", F.col("group").alias("region"))
+
+
+def pattern_density(boxes: DataFrame, pages: DataFrame, share: float) -> DataFrame:
+    """H4: ``(page, density)``: boxes whose middles lie within ``share`` of the page's ``width`` are connected; the areas of the groups' outer boxes over the page's ``width * height``, at most 1, and 0 without boxes."""
+    from strataframe.operators.matching import range_join
+
+    eps = F.col("width") * share
+    m = boxes.join(pages.select("page", "width"), "page").withColumns({"mx": (F.col("x0") + F.col("x1")) / 2, "my": (F.col("y0") + F.col("y1")) / 2, "eps": eps})
+    half = lambda c, sign: (F.col(c) + sign * (F.col("eps") / 2 + 1e-9)).alias
+    wide = m.select("page", "id", "mx", "my", "eps", half("mx", -1)("x0"), half("my", -1)("y0"), half("mx", 1)("x1"), half("my", 1)("y1"))
+    near = F.hypot(F.col("mx") - F.col("r_mx"), F.col("my") - F.col("r_my")) <= F.col("eps")
+    edges = range_join(wide, wide.select("page", "id", "mx", "my", *SIDES), ["page"]).filter(F.col("id") < F.col("r_id")).filter(near)
+    areas = boxes.join(_components(boxes, edges), ["page", "id"]).groupBy("page", "group").agg(((F.max("x1") - F.min("x0")) * (F.max("y1") - F.min("y0"))).alias("a"))
+    total = areas.groupBy("page").agg(F.sum("a").alias("a"))
+    return pages.join(total, "page", "left").select("page", F.least(F.lit(1.0), F.coalesce("a", F.lit(0.0)) / (F.col("width") * F.col("height"))).alias("density"))
+
+
+def depth_pairs(entries: DataFrame, words: DataFrame, order: str = "id") -> DataFrame:
+    """``(page, <order>, other)``: each entry with the first one of the page that has a greater value, about its height and starts near its right end, with at most an ``m`` and punctuation between; entries without one are left out."""
+    w = words.groupBy("page").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), "x0", "y0", "text"))).alias("words"))
+    e = entries.groupBy("page").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), "value", *SIDES))).alias("a"))
+    d = e.join(w, "page", "left").select("page", "a", "words", F.explode("a").alias("e"))
+    me = F.col("e")
+    h = me["y1"] - me["y0"]
+    level = lambda y: y.between(me["y0"] - h / 2, me["y0"] + h / 2)
+
+    def fits(o: Column) -> Column:
+        near = o["x0"].between(F.greatest(me["x0"], me["x1"] - h), me["x0"] + (me["x1"] - me["x0"]) + (o["x1"] - o["x0"]))
+        between = F.transform(F.filter("words", lambda t: (t["x0"] > me["x0"]) & (t["x0"] < o["x0"]) & level(t["y0"])), lambda t: t["text"])
+        plain = F.regexp_like(F.array_join(F.coalesce(between, F.array().cast("array<string>")), " "), F.lit(r"(?U)^\W*m?\W*$"))
+        return (o["o"] != me["o"]) & (o["value"] > me["value"]) & near & level(o["y0"]) & plain
+
+    return d.select("page", me["o"].alias(order), F.get(F.filter("a", fits), F.lit(0))["o"].alias("other")).filter("other is not null")

@@ -447,3 +447,47 @@ def zone_alignment(spark, sf):
     """Lines given to zones in order, with the affinities as bonus."""
     z = page.zones(table(spark, sf, ENTRY), "a_above_b")
     return matching.align_zone_lines(z, table(spark, sf, LINE), affinities(spark, sf).select("page", "id", page.weighted_affinity("a_above_b").alias("bonus")), "a_above_b")
+
+
+def _near(s: str, o: str, p: str) -> str:
+    """Whether the end ``p`` (0 or 1) of one segment lies within 8 of the other, in SQL."""
+    x, y = f"{o}.x{p}", f"{o}.y{p}"
+    t = f"greatest(0, least(1, (({x} - {s}.x0) * ({s}.x1 - {s}.x0) + ({y} - {s}.y0) * ({s}.y1 - {s}.y0)) / (power({s}.x1 - {s}.x0, 2) + power({s}.y1 - {s}.y0, 2))))"
+    return f"sqrt(power({x} - ({s}.x0 + {t} * ({s}.x1 - {s}.x0)), 2) + power({y} - ({s}.y0 + {t} * ({s}.y1 - {s}.y0)), 2)) <= 8"
+
+
+STRUCTURE = RULE | {"x1": "cast(l_partkey % 50 as double) + case when l_partkey % 2 = 0 then 3 else 30 + l_quantity end", "y1": "cast(pos * 13 + 4 as double) + case when l_partkey % 2 = 0 then 15 + l_quantity else 1 end"}
+_DEN = "((a.x1 - a.x0) * (b.y1 - b.y0) - (a.y1 - a.y0) * (b.x1 - b.x0))"
+
+
+@query(f"""with recursive g as ({sql(STRUCTURE)}), s as (select *, abs(degrees(atan((y1 - y0) / (x1 - x0)))) > 10 as v from g where sqrt(power(x1 - x0, 2) + power(y1 - y0, 2)) > 20),
+e as (select a.page, a.id, b.id as other from s a join s b on a.page = b.page and a.id <> b.id and ((abs({_DEN}) >= 1e-10 and (((b.x0 - a.x0) * (b.y1 - b.y0) - (b.y0 - a.y0) * (b.x1 - b.x0)) / {_DEN}) between 0 and 1
+  and (((b.x0 - a.x0) * (a.y1 - a.y0) - (b.y0 - a.y0) * (a.x1 - a.x0)) / {_DEN}) between 0 and 1) or {" or ".join(_near(x, y, p) for x, y in (("a", "b"), ("b", "a")) for p in "01")})),
+r as (select page, id, id as seen from s union select r.page, r.id, e.other from r join e on e.page = r.page and e.id = r.seen), c as (select page, id, min(seen) as region from r group by 1, 2),
+k as (select page, region, bool_or(v) and bool_or(not v) as mixed from c join s using (page, id) group by 1, 2) select page, id, region from c join k using (page, region) where mixed""")
+def table_regions(spark, sf):
+    """H2."""
+    return page.table_regions(page.structure_lines(table(spark, sf, STRUCTURE)))
+
+
+@query(f"""with recursive l as ({sql(LINE)}), p as (select o_orderkey as page, 100 + o_custkey % 200 as width, 90 as height from orders), m as (select l.*, (x0 + x1) / 2 as mx, (y0 + y1) / 2 as my, width from l join p using (page)),
+e as (select a.page, a.id, b.id as other from m a join m b on a.page = b.page and a.id <> b.id and sqrt(power(a.mx - b.mx, 2) + power(a.my - b.my, 2)) <= 0.06 * a.width),
+r as (select page, id, id as seen from m union select r.page, r.id, e.other from r join e on e.page = r.page and e.id = r.seen), c as (select page, id, min(seen) as g from r group by 1, 2),
+a as (select page, g, (max(x1) - min(x0)) * (max(y1) - min(y0)) as a from c join l using (page, id) group by 1, 2), t as (select page, sum(a) as a from a group by 1)
+select p.page, round(least(1, coalesce(a, 0) / (width * height)), 6) as density from p left join t using (page)""")
+def pattern_density(spark, sf):
+    """H4."""
+    pages = read(spark, sf, "orders").selectExpr("o_orderkey as page", "100 + o_custkey % 200 as width", "90 as height")
+    return page.pattern_density(table(spark, sf, LINE), pages, 0.06).withColumn("density", F.round("density", 6))
+
+
+DEPTH = {"value": "l_quantity", "x0": "cast(l_partkey % 6 * 9 as double)", "y0": "cast(l_suppkey % 4 * 4 as double)", "x1": "cast(l_partkey % 6 * 9 + 12 as double)", "y1": "cast(l_suppkey % 4 * 4 + 10 as double)", "text": "case l_partkey % 3 when 0 then 'm' when 1 then '-' else 'sand' end"}
+
+
+@query(f"""with t as ({sql(DEPTH)}), j as (select a.page, a.id, b.id as other from t a join t b on a.page = b.page and a.id <> b.id and b.value > a.value and b.x0 between greatest(a.x0, a.x1 - (a.y1 - a.y0)) and a.x1 + (b.x1 - b.x0)
+and b.y0 between a.y0 - (a.y1 - a.y0) / 2 and a.y0 + (a.y1 - a.y0) / 2 and regexp_full_match(coalesce((select string_agg(text, ' ' order by w.id) from t w where w.page = a.page and w.x0 > a.x0 and w.x0 < b.x0 and w.y0 between a.y0 - (a.y1 - a.y0) / 2 and a.y0 + (a.y1 - a.y0) / 2), ''), '\\W*m?\\W*'))
+select page, id, min(other) as other from j group by 1, 2""")
+def depth_pairs(spark, sf):
+    """J18."""
+    t = table(spark, sf, DEPTH)
+    return page.depth_pairs(t, t)
