@@ -24,13 +24,18 @@ def symbol_pair(top: G.Box, bottom: G.Box, hit: G.Box, text_height: Column) -> C
 def symbol_pairs(segments: DataFrame, texts: DataFrame, hits: DataFrame, page: str = "page") -> DataFrame:
     """F16: ``(page, hit, top, bottom)`` of stroke pairs by a text that holds a depth or date, with no text between them; ids are in ``id``."""
     mean = texts.groupBy(page).agg(F.avg(F.col("y1") - F.col("y0")).alias("th"))
-    s = segments.filter(G.is_horizontal(G.box(), 0.1))
     part = lambda d, p: d.select(page, *[F.col(c).alias(p + c) for c in ("id", "x0", "y0", "x1", "y1")])
-    j = part(s, "t_").join(part(s, "b_"), page).filter("t_y0 < b_y0 or (t_y0 = b_y0 and t_id < b_id)").join(part(hits, "h_"), page).join(mean, page)
-    t, b, h = G.box("t_"), G.box("b_"), G.box("h_")
+    # strokes about each hit first, by grid cells: a pair is formed only of those near one hit
+    h = G.box("h_")
     w, v = G.width(h), G.height(h)
-    close = lambda s: ((s.x0.between(h.x0 - w, h.x1 + w) & s.y0.between(h.y0 - v, h.y1 + v)) | (s.x1.between(h.x0 - w, h.x1 + w) & s.y1.between(h.y0 - v, h.y1 + v))) & (G.length(s) < 3 * w)
-    j = j.filter(symbol_pair(t, b, h, F.col("th")) & close(t) & close(b))
+    around = part(hits, "h_").withColumns({"x0": h.x0 - w, "y0": h.y0 - v, "x1": h.x1 + w, "y1": h.y1 + v})
+    flat = segments.filter(G.is_horizontal(G.box(), 0.1)).select(page, "id", F.struct("x0", "y0", "x1", "y1").alias("s"), *[(F.col(c) + e).alias(c) for c, e in (("x0", -1e-6), ("x1", 1e-6))], (F.least("y0", "y1") - 1e-6).alias("y0"), (F.greatest("y0", "y1") + 1e-6).alias("y1"))
+    s = G.Box(*[F.col(f"r_s.{c}") for c in ("x0", "y0", "x1", "y1")])
+    inside = lambda x, y: x.between(h.x0 - w, h.x1 + w) & y.between(h.y0 - v, h.y1 + v)
+    near = range_join(around, flat, [page]).filter((inside(s.x0, s.y0) | inside(s.x1, s.y1)) & (G.length(s) < 3 * w))
+    stroke = lambda p: near.select(page, "h_id", F.col("r_id").alias(f"{p}id"), *[F.col(f"r_s.{c}").alias(p + c) for c in ("x0", "y0", "x1", "y1")])
+    j = stroke("t_").join(stroke("b_"), [page, "h_id"]).filter("t_y0 < b_y0 or (t_y0 = b_y0 and t_id < b_id)").join(part(hits, "h_"), [page, "h_id"]).join(mean, page)
+    j = j.filter(symbol_pair(G.box("t_"), G.box("b_"), h, F.col("th")))
     gap = [j[page] == F.col("x.page"), F.col("x.x0") < j["t_x1"], j["t_x0"] < F.col("x.x1"), F.col("x.y0") < j["b_y0"], j["t_y0"] < F.col("x.y1")]
     clear = j.join(texts.withColumnRenamed(page, "page").alias("x"), gap, "left_anti")
     return clear.select(page, F.col("h_id").alias("hit"), F.col("t_id").alias("top"), F.col("b_id").alias("bottom"))

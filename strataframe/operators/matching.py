@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.functions import geometry as G
-from strataframe.functions.text import ratio
+from strataframe.functions.text import indel_ratio, ratio
 from strataframe.operators.sequence import grouped
 
 CELL = 50.0
@@ -184,6 +184,22 @@ def greedy_pairs(df: DataFrame, by: str, left: str, right: str, score: str, leas
     return grouped(df.select(by, left, right, score), [by], [left, right], fold, f"{by} {t[by]}, {left} {t[left]}, {right} {t[right]}, {score} {t[score]}")
 
 
+def similar_texts(left: DataFrame, right: DataFrame, by: str, ident: str, text: str, least: float) -> DataFrame:
+    """``(by, left_id, right_id, ratio)`` of the texts of one key whose Indel ratio is at least ``least``.
+
+    A pair is compared only if its lengths (and then the counts of its letters a to z) allow the ratio: a
+    common subsequence is no longer than the shorter text.
+    """
+    letters = [F.length(text) - F.length(F.replace(text, F.lit(c))) for c in map(chr, range(97, 123))]
+    part = lambda d, name: d.select(by, F.col(ident).alias(f"{name}_id"), F.col(text).alias(f"{name}_t"), F.length(text).alias(f"{name}_n"), F.array(*letters).alias(f"{name}_c"))
+    total = F.col("left_n") + F.col("right_n")
+    j = part(left, "left").join(part(right, "right"), by).filter(2 * F.least("left_n", "right_n") >= least * total)
+    common = F.aggregate(F.zip_with("left_c", "right_c", lambda a, b: F.least(a, b)), F.lit(0), lambda s, x: s + x)
+    others = lambda name: F.col(f"{name}_n") - F.aggregate(f"{name}_c", F.lit(0), lambda s, x: s + x)
+    j = j.filter(2 * (common + F.least(others("left"), others("right"))) >= least * total)
+    return j.select(by, "left_id", "right_id", indel_ratio("left_t", "right_t").alias("ratio")).filter(F.col("ratio") >= least)
+
+
 def nearest(points: DataFrame, boxes: DataFrame, by: list[str], point_id: str, box_id: str) -> DataFrame:
     """Each point's nearest box of its key, the smaller id of equals; points of keys without a box drop out."""
     dx = F.greatest(F.lit(0.0), F.col("x0") - F.col("px"), F.col("px") - F.col("x1"))

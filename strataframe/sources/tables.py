@@ -24,12 +24,44 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return by_file.select("file", F.explode("b").alias("b")).select("file", "b.*")
 
 
+_SPOT = "page:int,rect:array<double>"
+_BOUND = "struct<value:double,rect:array<double>,page:int>"
+_COUNTS = "struct<tp:bigint,fp:bigint,fn:bigint,precision:double,recall:double,f1:double>"
+#: A file's predictions: per borehole the features with the place where they were found.
+PREDICTION = f"""struct<file_metadata:struct<language:string,page_dimensions:array<struct<width:double,height:double>>>,
+boreholes:array<struct<borehole_index:int,
+metadata:struct<elevation:struct<elevation:double,{_SPOT}>,coordinates:struct<E:double,N:double,{_SPOT}>,name:struct<name:string,confidence:double,{_SPOT}>>,
+layers:array<struct<material_description:struct<text:string,lines:array<struct<text:string,{_SPOT}>>>,depths:struct<start:{_BOUND},`end`:{_BOUND}>>>,
+bounding_boxes:array<struct<sidebar_rect:array<double>,depth_column_entries:array<array<double>>,material_description_rect:array<double>,page:int>>,
+groundwater:array<struct<`date`:string,depth:double,elevation:double,{_SPOT}>>>>,
+metrics:struct<language:string,layer_metrics:{_COUNTS},depth_interval_metrics:{_COUNTS},material_description_metrics:{_COUNTS},metadata_metrics:struct<elevation:{_COUNTS},coordinates:{_COUNTS},name:{_COUNTS}>>>""".replace("\n", "")
+
+
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Like :func:`read_records`; a missing path or unreadable JSON gives no rows."""
+    """``(file, language, borehole_index, metadata, layers, bounding_boxes, groundwater, metrics)`` of JSON files that map a file name to its predictions; a missing path or unreadable JSON gives no rows."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return spark.createDataFrame([], "file string, borehole_index int, metadata map<string,string>, layers array<" + LAYER + ">, groundwater array<struct<date:string,depth:double,elevation:double>>")
-    return read_records(spark, path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    raw = spark.read.text(path, wholetext=True) if found else spark.createDataFrame([], "value string")
+    f = raw.select(F.explode(F.from_json("value", f"map<string,{PREDICTION}>")).alias("file", "p"))
+    return f.select("file", F.col("p.file_metadata.language").alias("language"), F.explode("p.boreholes").alias("b"), F.col("p.metrics").alias("metrics")).select("file", "language", "b.*", "metrics")
+
+
+def prediction_layers(predictions: DataFrame) -> DataFrame:
+    """The layers of :func:`read_predictions` as :func:`layers` gives those of ground truth, with the page of each bound."""
+    d = predictions.select("file", "borehole_index", F.posexplode("layers").alias("layer_index", "l"))
+    bound = lambda c, what: F.col(f"l.depths.{c}.{what}")
+    text = F.col("l.material_description.text")
+    return d.select(
+        "file", "borehole_index", "layer_index", bound("start", "value").alias("start"), bound("`end`", "value").alias("end"), parse_text(text).alias("text"), text.alias("raw_text"), bound("start", "page").alias("start_page"), bound("`end`", "page").alias("end_page")
+    )
+
+
+def nest_predictions_json(predictions: DataFrame) -> DataFrame:
+    """A3: ``(file, json)``, the boreholes of a file back in the layout that :func:`read_predictions` reads."""
+    inner = [c for c in ("borehole_index", "metadata", "layers", "bounding_boxes", "groundwater") if c in predictions.columns]
+    g = predictions.groupBy("file").agg(F.first("language", ignorenulls=True).alias("language"), F.array_sort(F.collect_list(F.struct("borehole_index", F.to_json(F.struct(*inner)).alias("j")))).alias("b"))
+    head = F.to_json(F.struct(F.struct("language").alias("file_metadata")))
+    return g.select("file", F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"boreholes":['), F.array_join(F.transform("b", lambda x: x["j"]), ","), F.lit("]}")).alias("json"))
 
 
 def layers(records: DataFrame) -> DataFrame:

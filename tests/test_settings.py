@@ -67,3 +67,21 @@ def test_unknown_language_raises(spark):
     t = spark.createDataFrame([("x/A", "core#prefLabel", "a", "es")], "subject string, predicate string, object string, language string")
     with pytest.raises(Exception, match="unknown language: es"):
         S.concept_rows(t).collect()
+
+
+def test_predictions_keep_their_layers(spark, tmp_path):
+    from strataframe.sources import tables
+
+    spot = {"page": 1, "rect": [0.0, 1.0, 2.0, 3.0]}
+    layer = {"material_description": {"text": "Kies!", "lines": [{"text": "Kies!", **spot}]}, "depths": {"start": None, "end": {"value": 2.5, **spot}}}
+    file = {"file_metadata": {"language": "de"}, "boreholes": [{"borehole_index": 1, "layers": [layer], "groundwater": []}, {"borehole_index": 0, "layers": [layer, {"material_description": {"text": "Ton"}}], "metadata": {"name": {"name": "B", "confidence": 1.0, **spot}}}]}
+    (tmp_path / "p.json").write_text(json.dumps({"a.pdf": file}))
+    p = tables.read_predictions(spark, str(tmp_path / "p.json"))
+    rows = [(r.borehole_index, r.layer_index, r.start, r.end, r.text, r.end_page) for r in tables.prediction_layers(p).orderBy("borehole_index", "layer_index").collect()]
+    assert rows == [(0, 0, None, 2.5, "kies", 1), (0, 1, None, None, "ton", None), (1, 0, None, 2.5, "kies", 1)]
+    (back,) = tables.nest_predictions_json(p).collect()
+    again = tmp_path / "again.json"
+    again.write_text(json.dumps({back.file: json.loads(back.json)}))
+    assert sorted(map(str, tables.prediction_layers(tables.read_predictions(spark, str(again))).collect())) == sorted(map(str, tables.prediction_layers(p).collect()))
+    (tmp_path / "bad.json").write_text("{")
+    assert tables.read_predictions(spark, str(tmp_path / "bad.json")).count() == 0
