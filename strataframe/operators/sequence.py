@@ -167,3 +167,48 @@ def best_choice(df: DataFrame, by: list[str], *order: Column) -> DataFrame:
     """The first row of each group by the given order."""
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
+
+
+def zip_positions(left: DataFrame, right: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
+    """``(by, place, left, right)``: the i-th value of one side with the i-th of the other; what is over on one side is left out."""
+    w = Window.partitionBy(*by).orderBy(order)
+    side = lambda d, name: d.select(*by, F.row_number().over(w).cast("bigint").alias("place"), F.col(value).alias(name))
+    return side(left, "left").join(side(right, "right"), [*by, "place"])
+
+
+def block_intervals(lines: DataFrame, by: str, order: str, text: str = "text") -> DataFrame:
+    """``(by, place, start, end, text)``: the depth intervals inside a text block, each with its lines.
+
+    A line with an interval starts a new entry, unless it starts above the block's first depth; where neither the
+    line nor the one before has one, the two together are tried. The first line, and a line that starts a further
+    entry, go without their leading depths. Lines before the first interval belong to it.
+    """
+    from strataframe.functions.parse import parse_interval
+
+    d = lines.select(by, F.col(order).alias("o"), F.coalesce(text, F.lit("")).alias("t"))
+    w = Window.partitionBy(by).orderBy("o")
+    d = d.withColumns({"i": parse_interval("t"), "j": parse_interval(F.concat_ws(" ", F.lag("t").over(w), F.col("t")))})
+    d = d.select(by, "o", "t", F.coalesce("i.rest", "t").alias("rest"), F.col("i").isNotNull().alias("own"), F.col("j").isNotNull().alias("two"), F.col("i.start").alias("s"), F.col("i.end").alias("e"), F.col("j.start").alias("s2"), F.col("j.end").alias("e2"))
+
+    def fold(rows: list[dict]) -> list[dict]:
+        out, held, now, first, before = [], [], None, None, None
+        for k, r in enumerate(rows):
+            found = (r["s"], r["e"]) if r["own"] else None
+            line = r["rest"] if k == 0 else r["t"]
+            if k and found is None and before is None and r["two"]:
+                found = (r["s2"], r["e2"])
+            before = found
+            if found:
+                first = first or found[0]  # a first depth of 0 bars nothing
+                if found[0] >= first:
+                    if now:
+                        out.append((now, held))
+                        held, line = [], r["rest"]
+                    now = found
+            if line.strip():
+                held.append(line)
+        if held:
+            out.append((now, held))
+        return [{by: rows[0][by], "place": k, "start": iv and iv[0], "end": iv and iv[1], "text": " ".join(mine)} for k, (iv, mine) in enumerate(out)]
+
+    return grouped(d, [by], ["o"], fold, f"{by} {dict(lines.dtypes)[by]}, place bigint, start double, end double, text string")

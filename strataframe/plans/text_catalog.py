@@ -260,3 +260,19 @@ def groundwater_near_key(spark, sf):
     """The first depth in a key's band."""
     lines = table(spark, sf, LINE).withColumn("text", F.expr("case when id % 2 = 0 then cast(id as string) || '.5 m u.T.' else 'nothing' end"))
     return features.groundwater_near_key(lines.filter("id = 1"), lines).select("page", "id", "depth")
+
+
+@query(f"""with x as (select l_orderkey as page, row_number() over (partition by l_orderkey order by pos) as place, l_partkey as "left" from {ITEMS_SQL} where pos % 3 = 0), y as (select l_orderkey as page, row_number() over (partition by l_orderkey order by pos) as place, l_suppkey as "right" from {ITEMS_SQL} where pos % 3 > 0)
+select page, place, "left", "right" from x join y using (page, place)""")
+def zipped_labels(spark, sf):
+    """J21."""
+    d = items(spark, sf)
+    side = lambda c, v: d.filter(c).selectExpr("l_orderkey as page", "pos", f"{v} as v")
+    return sequence.zip_positions(side("pos % 3 = 0", "l_partkey"), side("pos % 3 > 0", "l_suppkey"), ["page"], "pos", "v")
+
+
+@query(None)
+def block_intervals(spark, sf):
+    """W13."""
+    d = items(spark, sf).selectExpr("l_orderkey as page", "pos", "case when l_partkey % 3 = 0 then concat(l_linenumber, ',0 - ', l_linenumber + 2, ' m: sand') when l_partkey % 3 = 1 then 'clay' else concat('head ', l_linenumber, ' -') end as text")
+    return sequence.block_intervals(d, "page", "pos")

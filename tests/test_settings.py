@@ -85,3 +85,11 @@ def test_predictions_keep_their_layers(spark, tmp_path):
     assert sorted(map(str, tables.prediction_layers(tables.read_predictions(spark, str(again))).collect())) == sorted(map(str, tables.prediction_layers(p).collect()))
     (tmp_path / "bad.json").write_text("{")
     assert tables.read_predictions(spark, str(tmp_path / "bad.json")).count() == 0
+
+
+def test_block_intervals(spark):
+    from strataframe.operators import sequence
+
+    rows = [(1, 0, "FILL 0,5 - 1,0 m: gravel"), (1, 1, "grey"), (1, 2, "1,0 - 2,5 m: sand"), (1, 3, "0,1 - 0,2 m"), (2, 0, "2,0 -"), (2, 1, "3,0 m clay"), (2, 2, ""), (3, 0, "no depth"), (4, 0, None)]
+    got = sequence.block_intervals(spark.createDataFrame(rows, "page bigint, pos int, text string"), "page", "pos").orderBy("page", "place").collect()
+    assert [tuple(r) for r in got] == [(1, 0, 0.5, 1.0, "FILL 0,5 - 1,0 m: gravel grey"), (1, 1, 1.0, 2.5, "sand 0,1 - 0,2 m"), (2, 0, 2.0, 3.0, "2,0 - 3,0 m clay"), (3, 0, None, None, "no depth")]
