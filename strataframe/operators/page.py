@@ -424,8 +424,8 @@ def table_regions(lines: DataFrame, reach: float = 8.0) -> DataFrame:
     wide = lines.select("page", "id", seg, (F.col("x0") - reach).alias("x0"), (F.least("y0", "y1") - reach).alias("y0"), (F.col("x1") + reach).alias("x1"), (F.greatest("y0", "y1") + reach).alias("y1"))
     j = range_join(wide, wide, ["page"]).filter("id < r_id")
     a, b = _box(F.col("seg")), _box(F.col("r_seg"))
-    near = lambda s, x, y: G.distance_to_segment(s, x, y) <= reach
-    meets = G.segments_intersect(a, b) | near(a, b.x0, b.y0) | near(a, b.x1, b.y1) | near(b, a.x0, a.y0) | near(b, a.x1, a.y1)
+    ends = F.array(*[F.struct(F.col(s).alias("s"), x.alias("x"), y.alias("y")) for s, o in (("seg", b), ("r_seg", a)) for x, y in ((o.x0, o.y0), (o.x1, o.y1))])
+    meets = F.exists(ends, lambda p: G.distance_to_segment(_box(p["s"]), p["x"], p["y"]) <= reach) | G.segments_intersect(a, b)  # one expression for the four ends
     found = lines.join(_components(lines, j.filter(meets)), ["page", "id"])
     w = Window.partitionBy("page", "group")
     both = (F.max(F.col("is_vertical").cast("int")).over(w) == 1) & (F.min(F.col("is_vertical").cast("int")).over(w) == 0)

@@ -15,7 +15,7 @@ from strataframe.functions import fuzzy
 from strataframe.functions import geometry as G
 from strataframe.functions import parse as P
 from strataframe.functions import text as T
-from strataframe.operators import classify, layout, matching, metrics, sequence
+from strataframe.operators import layout, matching, metrics, sequence
 from strataframe.operators.graph import connected_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -279,13 +279,6 @@ def progressions(spark, sf):
     return sequence.arithmetic_progressions(o, "o_custkey", ["o_orderdate", "o_orderkey"], "day")
 
 
-@query(None)
-def reference_resolution(spark, sf):
-    """Turns of a conversation as layers."""
-    c = read(spark, sf, "conversations").selectExpr("conv_id", "turn", "role", "text", "cast(turn as double) as start")
-    return sequence.resolve_references(c, ["conv_id"], ["turn", "role", "text"], "text", "start").select("conv_id", "turn", "resolved")
-
-
 @query(f"""with b as ({BOX_SQL}) select page, id, round(sqrt(power(x1 - x0, 2) + power(y1 - y0, 2)), 6) as length, round((y1 - y0) / (x1 - x0), 6) as slope, round(degrees(atan((y1 - y0) / (x1 - x0))), 6) as angle,
 round(x0 + (50 - y0) * (x1 - x0) / (y1 - y0), 6) as x_at_50, round(abs((y1 - y0) * 100 - (x1 - x0) * 50 + x1 * y0 - y1 * x0) / sqrt(power(x1 - x0, 2) + power(y1 - y0, 2)), 6) as distance, abs((y1 - y0) / (x1 - x0)) <= 0.5 as flat from b""")
 def segment_maths(spark, sf):
@@ -376,14 +369,6 @@ def sequence_alignment(spark, sf):
     return matching.align_layers(rows, "conv_id", "depth")
 
 
-@query(None)
-def greedy_matching(spark, sf):
-    """Line items of an order paired by likeness of price, each used once."""
-    li = items(spark, sf).selectExpr("l_orderkey as page", "pos as id", "l_quantity as q")
-    pairs = li.filter("id % 2 = 1").join(li.filter("id % 2 = 0").selectExpr("page", "id as right", "q as rq"), "page").selectExpr("page", "id as left", "right", "1 / (1 + abs(q - rq)) as score")
-    return matching.greedy_pairs(pairs, "page", "left", "right", "score", 0.1)
-
-
 @query("select r_name, n_name, count(distinct o_orderkey)::bigint as orders, round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey group by 1, 2")
 def relational_core(spark, sf):
     """Assembly of five tables."""
@@ -439,16 +424,6 @@ def fuzzy_keys(spark, sf):
     return read(spark, sf, "part").select("p_brand").distinct().select("p_brand", fuzzy.fuzzy_key("p_brand", ["Brant", "Barnd"]).alias("key"))
 
 
-PATTERNS = {"river": [["the", "river"]], "house": [["house"], ["maison"]]}
-
-
-@query(None)
-def baseline_classes(spark, sf):
-    """Z1, T15, O9."""
-    d = read(spark, sf, "documents").select("doc_id", "text")
-    return classify.make("baseline", patterns=PATTERNS, default="none")(d).select("doc_id", "prediction_class")
-
-
 @query(None)
 def stitched_pages(spark, sf):
     """A conversation's turns as layers, three a page."""
