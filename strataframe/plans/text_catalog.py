@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strataframe.functions import geometry as G
 from strataframe.functions import parse as P
 from strataframe.functions import text as T
 from strataframe.operators import features, matching, metrics, sequence
