@@ -36,10 +36,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm.text import Words, column, remap, runs, segment_sum, tokenize
+from strataframe.llm.text import column, runs, segment_sum
 from strataframe.plans.runtime import discard, materialize, pick
 
 WORD_SHARE = 1e-5
@@ -86,18 +87,38 @@ def initial(counts: list[int], total: int) -> Net:
     return Net(rng.normal(0, 0.1, (size, 2 * REACH * HIDDEN)).astype(f), np.zeros(HIDDEN, f), classes, members, np.array(cuts))
 
 
-def _words(texts: pa.Array) -> Words:
-    w = tokenize(texts)
-    return remap(w, [x.strip(OUTER) for x in w.words])
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Lower-cased words between white space without their outer signs, as ``Words``, but the distinct ones stay in Arrow: most are rare, and a Python string each costs more than the rest."""
+    split = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+    coded = split.flatten().dictionary_encode()
+    bare = pc.utf8_trim(coded.dictionary, characters=OUTER).dictionary_encode()
+    to, words = bare.indices.to_numpy(zero_copy_only=False).astype(np.int32), bare.dictionary
+    nothing = pc.index(words, "").as_py()
+    if nothing >= 0:
+        to = np.where(to == nothing, -1, to - (to > nothing))
+        words = pa.concat_arrays([words[:nothing], words[nothing + 1 :]])
+    ids, offsets = to[coded.indices.to_numpy(zero_copy_only=False)], split.offsets.to_numpy().astype(np.int64)
+    offsets -= offsets[0]
+    if nothing >= 0:
+        keep = ids >= 0
+        ids, offsets = ids[keep], np.concatenate([[0], np.cumsum(keep)])[offsets]
+    return offsets, ids, words
 
 
 def _bucket(word: str) -> int:
     return 1 + zlib.crc32(word.encode()) % (SPECIAL - 1)
 
 
-def vocabulary_ids(words: list[str], index: dict[str, int]) -> np.ndarray:
-    """The id of each word: its own, or its bucket's."""
-    return np.fromiter((index.get(x) or _bucket(x) for x in words), np.int32, len(words))
+def vocabulary_ids(words: pa.Array, own: pa.Array) -> np.ndarray:
+    """The id of each word: its own, or its bucket's (as of ``_bucket``, from the bytes in Arrow's buffer)."""
+    at = pc.index_in(words, value_set=own)
+    out = pc.fill_null(at, 0).to_numpy(zero_copy_only=False) + np.int32(SPECIAL)
+    rare = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+    if len(rare):
+        _, ends, raw = words.take(pa.array(rare)).cast(pa.large_string()).buffers()
+        ends, raw = np.frombuffer(ends, np.int64, len(rare) + 1).tolist(), memoryview(raw)
+        out[rare] = [1 + zlib.crc32(raw[a:b]) % (SPECIAL - 1) for a, b in zip(ends, ends[1:])]
+    return out
 
 
 def padded(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,16 +158,26 @@ def hidden(net: Net, near: np.ndarray) -> np.ndarray:
 
 def _small(weights: np.ndarray) -> bool:
     """Whether no state can give an output whose exponential overflows."""
-    return float(np.abs(weights).sum(1).max()) < 80
+    return float((np.abs(weights) @ ONES[: weights.shape[1]]).max()) < 60
+
 
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Of each row."""
+    return x @ (ONES[: x.shape[1]] if x.shape[1] <= len(ONES) else np.ones(x.shape[1], np.float32))
 
-def _exp(h: np.ndarray, weights: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Softmax numerators and their sums."""
+
+def _loss_gradients(h: np.ndarray, weights: np.ndarray, small: bool, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the summed loss of a softmax: by state (not its one), and by weights. The numerators are left undivided, as states are narrower than they are."""
     x = h @ weights.T
     if not small:
         x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
-    return x, x @ (ONES[: x.shape[1]] if x.shape[1] <= len(ONES) else np.ones(x.shape[1], np.float32))
+    total = _sums(x)
+    x[np.arange(len(x)), target] -= total
+    part = (1 / total)[:, None]
+    dh = x @ np.ascontiguousarray(weights[:, :-1])
+    dh *= part
+    return dh, x.T @ (h * part)
 
 
 def _log_softmax(h: np.ndarray, weights: np.ndarray, small: bool, target: np.ndarray) -> np.ndarray:
@@ -156,17 +187,19 @@ def _log_softmax(h: np.ndarray, weights: np.ndarray, small: bool, target: np.nda
         x -= x.max(1, keepdims=True)
     own = x[np.arange(len(x)), target]
     np.exp(x, out=x)
-    return own - np.log(x.sum(1))
+    return own - np.log(_sums(x))
 
 
-def _targets(net: Net, class_of: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The words among the stretches' places, by class: where, which word, which class, and where each class begins."""
+def _targets(net: Net, class_of: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
+    """The words among the stretches' places, by class: where, which of the class's words, which class, and of each class that occurs, where its words begin and end here, and its cuts."""
     word = near[:, REACH:-REACH].ravel()
     take = np.flatnonzero(word)
     take = take[np.argsort(class_of[word[take]], kind="stable")]
     word = word[take]
     klass = class_of[word]
-    return take, word, klass, np.searchsorted(klass, np.arange(len(net.cuts)))
+    edges = np.searchsorted(klass, np.arange(len(net.cuts)))
+    there = np.flatnonzero(np.diff(edges))
+    return take, word - net.cuts[klass], klass, np.stack([edges[there], edges[there + 1], net.cuts[there], net.cuts[there + 1]], 1).tolist()
 
 
 def log_probabilities(net: Net, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -174,34 +207,38 @@ def log_probabilities(net: Net, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     class_of, small = net.class_of, (_small(net.classes), _small(net.members))
     every = stretches(ids)
     out = np.zeros(every.shape[0] * STRETCH, np.float32)
-    for a in range(0, len(every), BATCH):
-        near = every[a : a + BATCH]
-        take, word, klass, edges = _targets(net, class_of, near)
-        h = hidden(net, near).reshape(-1, HIDDEN + 1)[take]
+    for a in range(0, len(every), 4 * BATCH):  # wider than in training, where the width tells
+        near = every[a : a + 4 * BATCH]
+        take, word, klass, classes = _targets(net, class_of, near)
+        h = hidden(net, near).reshape(-1, HIDDEN + 1).take(take, axis=0)
         got = np.empty(len(word), np.float32)
         for i in range(0, len(word), 2048):
             got[i : i + 2048] = _log_softmax(h[i : i + 2048], net.classes, small[0], klass[i : i + 2048])
-        for c in np.unique(klass):
-            i, j = edges[c], edges[c + 1]
-            got[i:j] += _log_softmax(h[i:j], net.members[net.cuts[c] : net.cuts[c + 1]], small[1], word[i:j] - net.cuts[c])
+        for i, j, first, last in classes:
+            got[i:j] += _log_softmax(h[i:j], net.members[first:last], small[1], word[i:j])
         out[a * STRETCH + take] = got
     return out[at - REACH]
 
 
-def _row_sums(g: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of ``g[order]`` over the segments that begin at ``first``; segments of one size are added together."""
+def _row_sums(g: np.ndarray, order: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of ``g[order]`` over the segments that begin at ``first``, by segment size, and the segments in that order: those of one size lie side by side and are added in one call."""
     size = np.diff(np.r_[first, len(order)])
+    by = np.argsort(size, kind="stable")
+    n = size[by]
+    begin = np.cumsum(n) - n
+    rows = g[order[np.repeat(first[by] - begin, n) + np.arange(len(order))]]
     out = np.empty((len(first), g.shape[1]), g.dtype)
-    for k in range(1, 24):
-        mine = np.flatnonzero(size == k)
-        if len(mine):
-            total = g[order[first[mine]]]
-            for i in range(1, k):
-                total += g[order[first[mine] + i]]
-            out[mine] = total
-    for i in np.flatnonzero(size >= 24):
-        out[i] = g[order[first[i] : first[i] + size[i]]].sum(0)
-    return out
+    sizes, at = np.unique(n, return_index=True)
+    for k, i, j in zip(sizes.tolist(), at.tolist(), [*at[1:].tolist(), len(n)]):
+        a = int(begin[i])
+        mine = rows[a : a + k * (j - i)]
+        if k == 1:
+            out[i:j] = mine
+        elif j - i == 1:
+            out[i] = ONES[:k] @ mine if k <= len(ONES) else mine.sum(0)
+        else:
+            np.add.reduce(mine.reshape(j - i, k, -1), axis=1, out=out[i:j])
+    return out, by
 
 
 class Trainer:
@@ -213,51 +250,51 @@ class Trainer:
         self.class_of = net.class_of
         self.rate, self.targets = rate, 0
 
-    def _step(self, part: int, grad: np.ndarray, where=...) -> None:
+    def _step(self, part: int, grad: np.ndarray, where: np.ndarray | None = None) -> None:
         acc, par = self.seen[part], self.net[part]
-        total = acc[where] + grad * grad
-        acc[where] = total
-        np.sqrt(total, out=total)
-        np.divide(grad, total, out=total)
-        total *= self.rate
-        par[where] -= total
+        for a in range(0, len(grad), 512):  # what is worked on stays in the cache
+            g = grad[a : a + 512]
+            rows = slice(a, a + 512) if where is None else where[a : a + 512]
+            total = g * g
+            total += acc[rows]
+            acc[rows] = total
+            np.sqrt(total, out=total)
+            np.divide(g, total, out=total)
+            total *= self.rate
+            par[rows] -= total
 
     def gradients(self, near: np.ndarray) -> tuple[int, list]:
         """The number of targets, and the gradient of each part; that of ``context`` with the rows it is of."""
         net, (s, k) = self.net, (near.shape[0], near.shape[1] - 2 * REACH)
-        take, word, klass, edges = _targets(net, self.class_of, near)
+        take, word, klass, classes = _targets(net, self.class_of, near)
         n = len(word)
-        h = hidden(net, near).reshape(-1, HIDDEN + 1)[take]
+        h = hidden(net, near).reshape(-1, HIDDEN + 1).take(take, axis=0)
         small = _small(net.classes), _small(net.members)
-        dh, d_classes, d_members = np.empty_like(h), np.zeros_like(net.classes), np.zeros_like(net.members)
+        dh, d_classes, d_members = np.empty((n, HIDDEN), h.dtype), np.zeros_like(net.classes), np.zeros_like(net.members)
         for i in range(0, n, 2048):
-            mine = h[i : i + 2048]
-            x, total = _exp(mine, net.classes, small[0])
-            x *= (1 / total)[:, None]
-            x[np.arange(len(x)), klass[i : i + 2048]] -= 1
-            dh[i : i + 2048] = x @ net.classes
-            d_classes += x.T @ mine
-        for c in np.unique(klass):
-            i, j, a, b = edges[c], edges[c + 1], net.cuts[c], net.cuts[c + 1]
-            x, total = _exp(h[i:j], net.members[a:b], small[1])
-            x *= (1 / total)[:, None]
-            x[np.arange(j - i), word[i:j] - a] -= 1
-            dh[i:j] += x @ net.members[a:b]
-            d_members[a:b] = x.T @ h[i:j]
-        dz = dh[:, :-1] * (1 - h[:, :-1] ** 2)
+            dh[i : i + 2048], d = _loss_gradients(h[i : i + 2048], net.classes, small[0], klass[i : i + 2048])
+            d_classes += d
+        for i, j, first, last in classes:
+            d, d_members[first:last] = _loss_gradients(h[i:j], net.members[first:last], small[1], word[i:j])
+            dh[i:j] += d
+        dz = h[:, :-1] * h[:, :-1]
+        np.subtract(1, dz, out=dz)
+        dz *= dh
         # a neighbour's gradient is made of those of the targets around it, which stand side by side: the window of 2 * REACH + 1 of them that begins with the target REACH after it
         width = k + 4 * REACH
-        placed = np.zeros((s, width, HIDDEN), h.dtype)
-        placed[take // k, take % k + 2 * REACH] = dz
-        around = np.lib.stride_tricks.as_strided(placed, (s * width - 2 * REACH, (2 * REACH + 1) * HIDDEN), (placed.strides[1], placed.strides[2]))
+        placed = np.zeros((s * width, HIDDEN), h.dtype)
+        placed[take + take // k * (4 * REACH) + 2 * REACH] = dz
+        around = np.lib.stride_tricks.as_strided(placed, (s * width - 2 * REACH, (2 * REACH + 1) * HIDDEN), (placed.strides[0], placed.strides[1]))
         flat = near.ravel()
         order = np.argsort(flat, kind="stable")
         flat = flat[order]
         first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-        window = order // (k + 2 * REACH) * width + order % (k + 2 * REACH)
-        sums = _row_sums(around, window, first).reshape(-1, 2 * REACH + 1, HIDDEN)
-        context = sums[:, [REACH - p for p in PLACES]].reshape(-1, 2 * REACH * HIDDEN)
-        return n, [(context, flat[first]), dz.sum(0), d_classes, d_members]
+        window = order + order // (k + 2 * REACH) * (2 * REACH)
+        sums, by = _row_sums(around, window, first)
+        context = np.empty((len(sums), 2 * REACH * HIDDEN), sums.dtype)
+        for i, p in enumerate(PLACES):
+            context[:, i * HIDDEN : (i + 1) * HIDDEN] = sums[:, (REACH - p) * HIDDEN : (REACH - p + 1) * HIDDEN]
+        return n, [(context, flat[first[by]]), dz.sum(0), d_classes, d_members]
 
     def batch(self, near: np.ndarray) -> None:
         n, (context, *rest) = self.gradients(near)
@@ -295,12 +332,12 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     for whole in batches:
         for b in runs(whole, "text"):
-            w = _words(column(b, "text"))
-            counts = np.bincount(w.ids, minlength=len(w.words)).astype(np.int64)
-            one = lambda x, kind: pa.array([x], pa.list_(kind))
-            raw = w.ids.astype(np.uint16 if len(w.words) <= 1 << 16 else np.uint32).tobytes()
+            offsets, ids, words = _words(column(b, "text"))
+            counts = np.bincount(ids, minlength=len(words)).astype(np.int64)
+            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            raw = ids.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), one(w.words, pa.string()), one(counts, pa.int64()), one(column(b, "doc_id").to_pylist(), pa.int64()), one(w.offsets[1:], pa.int64()), pa.array([raw], pa.binary())],
+                [pa.array([number]), one(words), one(pa.array(counts)), one(column(b, "doc_id")), one(pa.array(offsets[1:])), pa.array([raw], pa.binary())],
                 names=[f.split(" ")[0] for f in RUNS.split(", ")],
             )
             number += 1
@@ -323,13 +360,13 @@ class Run(NamedTuple):
 CODED = "run bigint, doc_ids array<bigint>, ends array<bigint>, ids binary, known binary"
 
 
-def code(encoded: DataFrame, index: dict[str, int]) -> DataFrame:
+def code(encoded: DataFrame, own: list[str]) -> DataFrame:
     """The runs with the vocabulary's ids in place of their words, written once for the training rounds and the scoring."""
-    shared = encoded.sparkSession.sparkContext.broadcast(index)
+    shared = encoded.sparkSession.sparkContext.broadcast(pa.array(own, pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            known = pa.array([vocabulary_ids(w.as_py(), shared.value).tobytes() for w in b["words"]], pa.binary())
+            known = pa.array([vocabulary_ids(w.values.cast(pa.string()), shared.value).tobytes() for w in b["words"]], pa.binary())
             yield pa.RecordBatch.from_arrays([b["run"], b["doc_ids"], b["ends"], b["ids"], known], names=["run", "doc_ids", "ends", "ids", "known"])
 
     return materialize(encoded.select("run", "doc_ids", "ends", "ids", "words").mapInArrow(run, CODED), "coded", **PLAIN)
@@ -405,27 +442,18 @@ def train(coded: DataFrame, net: Net) -> Net:
     return net
 
 
-def rare_shares(encoded: DataFrame, index: dict[str, int], rare: DataFrame) -> DataFrame:
+def rare_shares(encoded: DataFrame, rare: DataFrame) -> DataFrame:
     """``(run, i, log_share)`` of the words of each run that have no id of their own: one row a distinct word, not one a document."""
-    known = encoded.sparkSession.sparkContext.broadcast(index)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for number, words in zip(b["run"].to_pylist(), b["words"]):
-                words = words.as_py()
-                at = [i for i, x in enumerate(words) if x not in known.value]
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array([words[i] for i in at], pa.string())], names=["run", "i", "word"])
-
-    return encoded.select("run", "words").mapInArrow(run, "run bigint, i int, word string").join(rare, "word").select("run", "i", F.col("log_share").cast("float"))
+    each = encoded.select("run", F.posexplode("words").alias("i", "word"))
+    return each.join(rare, "word").select("run", "i", F.col("log_share").cast("float"))
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_tokens, log_prob, mean_log_prob)`` for every row, by a network trained on all of them."""
     encoded = encode(docs)
     own, total, words = vocabulary(encoded)
-    index = {w: SPECIAL + i for i, (w, _) in enumerate(own)}
-    shares = materialize(rare_shares(encoded, index, rare_words(words, total)), "shares")
-    coded = code(encoded, index)
+    shares = materialize(rare_shares(encoded, rare_words(words, total)), "shares")
+    coded = code(encoded, [w for w, _ in own])
     discard(words)
     discard(encoded)
     net = initial([n for _, n in own], total)

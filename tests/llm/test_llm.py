@@ -248,6 +248,39 @@ def test_lm_tells_rare_words_apart(spark, monkeypatch):
     assert by[50].log_prob == by[51].log_prob and by[50].log_prob - by[53].log_prob == pytest.approx(np.log(5), abs=2e-3)
 
 
+def test_lm_words_stay_in_arrow():
+    texts = [None, "", " \n\t ", "The (the) THE, «the» -- !!! ß\u00a0Straße\u2003x", "...", "Ünder under. 'under' \x1fy", "x " * 5 + "-"]
+    for some in (texts, ["a b", "b"], ["--"], []):
+        offsets, ids, words = lm._words(pa.array(["left out", *some], pa.string())[1:])
+        want = tx.tokenize(pa.array(some, pa.string()))
+        want = tx.remap(want, [x.strip(lm.OUTER) for x in want.words])
+        assert isinstance(words, pa.Array) and words.to_pylist() == want.words
+        assert ids.tolist() == want.ids.tolist() and offsets.tolist() == want.offsets.tolist()
+    known = pa.array(["the", "ß"])
+    for words in (["ß", "rare", "the", "größe", "", "\U0001f600"], ["the"], []):
+        for own in (known, known[:0]):
+            index = {x: lm.SPECIAL + i for i, x in enumerate(own.to_pylist())}
+            assert lm.vocabulary_ids(pa.array(["left out", *words])[1:], own).tolist() == [index.get(x) or lm._bucket(x) for x in words]
+
+
+def test_lm_shares_need_no_python(spark):
+    encoded = lm.encode(spark.createDataFrame([(1, "a b b c c c", "en", "s"), (2, "c b d", "en", "s")], DOCS))
+    rare = spark.createDataFrame([("a", -1.0), ("d", -2.0)], "word string, log_share double")
+    shares = lm.rare_shares(encoded, rare)
+    words = {(r.run, i): x for r in encoded.collect() for i, x in enumerate(r.words)}
+    assert sorted((words[r.run, r.i], r.log_share) for r in shares.collect()) == [("a", -1.0), ("d", -2.0)]
+    assert "Arrow" not in shares._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lm_row_sums():
+    rng = np.random.default_rng(5)
+    g, order = rng.normal(size=(300, 6)), rng.permutation(300)[:280]
+    first = np.array([0, 1, 2, 5, 8, 11, 12, 60, 62, 64, 66, 200])
+    sums, by = lm._row_sums(g, order, first)
+    want = [g[order[a:b]].sum(0) for a, b in zip(first, [*first[1:], 280])]
+    assert sorted(by.tolist()) == list(range(len(first))) and sums == pytest.approx(np.array(want)[by])
+
+
 def lm_run(rng, texts, size=200):
     ids = np.array([i for n in texts for i in rng.integers(1, lm.SPECIAL + size, n)], np.int32)
     return lm.padded(ids, np.cumsum(texts))
