@@ -151,7 +151,6 @@ def elevation_matches(a: Column, b: Column, tolerance: float = 0.01) -> Column:
 
 
 def coordinates_match(e1: Column, n1: Column, e2: Column, n2: Column, tolerance: float = 2.0) -> Column:
-    """Both axes within the tolerance once the older frame is moved to the newer."""
-    east = lambda c: F.when(c < 1e6, c + 2e6).otherwise(c)
-    north = lambda c: F.when(c < 1e6, c + 1e6).otherwise(c)
-    return F.coalesce((F.abs(east(e1) - east(e2)) <= tolerance) & (F.abs(north(n1) - north(n2)) <= tolerance), F.lit(False))
+    """Both axes within the tolerance, as they stand or once one of the two points is moved from the older frame to the newer."""
+    near = lambda shift: (F.abs(e1 + 2 * shift - e2) <= tolerance) & (F.abs(n1 + shift - n2) <= tolerance)
+    return F.coalesce(near(0.0) | near(1e6) | near(-1e6), F.lit(False))

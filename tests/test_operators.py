@@ -124,6 +124,14 @@ def test_matched_counts(spark):
     assert got == {1: (2, 2, 1), 2: (0, 1, 0), 3: (0, 0, 2)}
 
 
+def test_coordinates_match_in_either_frame(spark):
+    cases = [((600000.0, 150000.0), (2600002.0, 1150000.0), True), ((2600000.0, 1150000.0), (600000.0, 150001.0), True), ((1800000.0, 150000.0), (3800001.0, 1150000.0), True), ((600000.0, 150000.0), (600003.0, 150000.0), False),
+             ((600000.0, 150000.0), (2600000.0, 150000.0), False), ((600000.0, 150000.0), (600000.0, 150000.0), True), ((None, 150000.0), (600000.0, 150000.0), False)]
+    df = spark.createDataFrame([(k, *a, *b) for k, (a, b, _) in enumerate(cases)], "k int, e1 double, n1 double, e2 double, n2 double")
+    got = df.orderBy("k").select(metrics.coordinates_match(F.col("e1"), F.col("n1"), F.col("e2"), F.col("n2"))).collect()
+    assert [r[0] for r in got] == [w for _, _, w in cases]
+
+
 def test_classifiers(spark):
     df = spark.createDataFrame([("silty sand with gravel",), ("clay",), (None,)], "text string")
     run = classify.make("baseline", patterns={"SM": [["silty", "sand"]], "S": [["sand"]], "CL": [["clay"]]}, default="kA")
