@@ -112,7 +112,16 @@ UNIT = r"(?:\s*[müMN]+(?![\p{IsLatin}]))?"
 
 def parse_interval(c: Column | str, anchored: bool = False, open_words: tuple[str, ...] = ("ab", "dès", "from")) -> Column:
     """``struct(start, end, rest)``: ``5 - 7.1 m text``, else open ended ``ab 4 m``; the rest is the text after a match at the start, else the whole text."""
-    x = F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
+    return interval_of(plain_spaces(c), anchored, open_words)
+
+
+def plain_spaces(c: Column | str) -> Column:
+    """Runs of white space as one blank, none at the ends."""
+    return F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
+
+
+def interval_of(x: Column, anchored: bool = False, open_words: tuple[str, ...] = ("ab", "dès", "from")) -> Column:
+    """D10 of a text with ``plain_spaces``; a column, as each of its patterns reads it."""
     closed = rf"({NUMBER}){UNIT}[\s-]+({NUMBER}){UNIT}[\s.:;,]*"
     if anchored:
         closed = "^" + closed

@@ -7,8 +7,9 @@ or one Arrow group.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,19 +133,61 @@ def progression(values: list[float]) -> list[float]:
     return modal_step(whole) or modal_step(values)
 
 
+PLACE = "__place"
+
+
+def numbered(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Adds each row's place in its group, from 1: its window keeps a group whole and in order in its partition, so Arrow batches that follow can be cut where a place is 1."""
+    return df.withColumn(PLACE, F.row_number().over(Window.partitionBy(*by).orderBy(*[F.asc_nulls_last(c) for c in order])))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups of ``numbered`` rows, each with the places where its groups start; a group that a batch breaks off waits for its end."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        starts = np.flatnonzero(batch.column(PLACE).to_numpy() == 1)
+        if len(starts):
+            last = int(starts[-1])
+            done = pa.Table.from_batches([*held, batch.slice(0, last)])
+            if done.num_rows:
+                yield done, np.flatnonzero(done.column(PLACE).to_numpy() == 1)
+            held = [batch.slice(last)]
+        else:
+            held.append(batch)
+    if held and (done := pa.Table.from_batches(held)).num_rows:
+        yield done, np.flatnonzero(done.column(PLACE).to_numpy() == 1)
+
+
+def values(column: pa.ChunkedArray) -> list:
+    """A column as Python values, by whole arrays where its type has one."""
+    kind = column.type
+    if pa.types.is_integer(kind) or pa.types.is_floating(kind):
+        if not column.null_count:
+            return column.to_numpy().tolist()
+        some = column.fill_null(0).to_numpy().astype(object)
+        some[column.is_null().to_numpy()] = None
+        return some.tolist()
+    if pa.types.is_string(kind) or pa.types.is_large_string(kind) or pa.types.is_boolean(kind):
+        return column.to_numpy().tolist()
+    return column.to_pylist()
+
+
 def grouped(df: DataFrame, by: list[str], order: list[str], fold: Callable[[list[dict]], list[dict]], schema: str) -> DataFrame:
-    """A Python fold over each group's rows in order, in Arrow batches: for results that depend on the order of processing."""
+    """A Python fold over each group's rows in order: for results that depend on the order of processing. An Arrow batch holds many groups, so small ones cost no call each."""
     out = StructType.fromDDL(schema)
-    names = out.names
+    names = df.columns
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        rows = table.sort_by([(c, "ascending") for c in order]).to_pylist()
-        got = fold(rows)
-        return pa.Table.from_pylist([{k: r.get(k) for k in names} for r in got], schema=to_arrow_schema(out))
+        kinds = to_arrow_schema(out)
+        for table, starts in whole_groups(batches):
+            rows = [dict(zip(names, row)) for row in zip(*[values(table.column(i)) for i in range(len(names))])]
+            ends = [*starts[1:].tolist(), len(rows)]
+            got = [r for a, z in zip(starts.tolist(), ends) for r in fold(rows[a:z])]
+            yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in got], f.type) for f in kinds], schema=kinds)
 
-    return df.groupBy(*by).applyInArrow(run, schema)
+    return numbered(df, by, order).mapInArrow(run, out)
 
 
 def arithmetic_progressions(df: DataFrame, by: str, order: list[str], value: str) -> DataFrame:
@@ -183,11 +226,15 @@ def block_intervals(lines: DataFrame, by: str, order: str, text: str = "text") -
     line nor the one before has one, the two together are tried. The first line, and a line that starts a further
     entry, go without their leading depths. Lines before the first interval belong to it.
     """
-    from strataframe.functions.parse import parse_interval
+    from strataframe.functions.parse import interval_of, plain_spaces
 
     d = lines.select(by, F.col(order).alias("o"), F.coalesce(text, F.lit("")).alias("t"))
     w = Window.partitionBy(by).orderBy("o")
-    d = d.withColumns({"i": parse_interval("t"), "j": parse_interval(F.concat_ws(" ", F.lag("t").over(w), F.col("t")))})
+    d = d.withColumn("x", plain_spaces("t"))
+    d = d.withColumn("i", interval_of(F.col("x")))
+    # two lines are tried together only where neither has an interval
+    d = d.withColumn("xx", F.when(F.col("i").isNull() & F.lag("i").over(w).isNull(), F.trim(F.concat_ws(" ", F.lag("x").over(w), F.col("x")))))
+    d = d.withColumn("j", F.when(F.col("xx").isNotNull(), interval_of(F.col("xx"))))
     d = d.select(by, "o", "t", F.coalesce("i.rest", "t").alias("rest"), F.col("i").isNotNull().alias("own"), F.col("j").isNotNull().alias("two"), F.col("i.start").alias("s"), F.col("i.end").alias("e"), F.col("j.start").alias("s2"), F.col("j.end").alias("e2"))
 
     def fold(rows: list[dict]) -> list[dict]:

@@ -95,6 +95,23 @@ def test_page_stitching(spark):
     assert got == [(1, 0.0, 1.0, "topsoil"), (1, 1.0, 2.0, "sand"), (1, 2.0, 4.0, "clay stiff"), (1, 4.0, 5.0, "rock"), (2, 0.0, 1.0, "first layer"), (2, 1.0, 2.0, "second layer"), (2, 2.0, 3.0, "third layer")]
 
 
+def test_many_groups_share_a_batch(spark):
+    rows = [(g, i, float(i) if i % 3 else None, "ä" if i % 2 else None) for g in [None, *range(40)] for i in range(1 + (g or 9) % 7 * 5)]
+    random.Random(2).shuffle(rows)
+    df = spark.createDataFrame(rows, "g long, i int, v double, t string")
+    fold = lambda part: [{"g": part[0]["g"], "n": len(part), "shown": repr([(r["i"], r["v"], r["t"]) for r in part])}]
+    want = {g: repr([(r[1], r[2], r[3]) for r in sorted((r for r in rows if r[0] == g), key=lambda r: r[1])]) for g in {r[0] for r in rows}}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # so that batches break groups off
+    try:
+        out = sequence.grouped(df, ["g"], ["i"], fold, "g long, n int, shown string")
+        assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()  # a call a group takes longer than the fold
+        got = out.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(want) and {r.g: r.shown for r in got} == want
+    assert sequence.grouped(df.limit(0), ["g"], ["i"], fold, "g long, n int, shown string").count() == 0
+
+
 def test_greedy_pairs(spark):
     df = spark.createDataFrame([(1, 1, 1, 0.9), (1, 1, 2, 0.95), (1, 2, 2, 0.9), (1, 2, 1, 0.2), (1, 3, 3, 0.0)], "g long, a long, b long, s double")
     assert {(r.a, r.b) for r in matching.greedy_pairs(df, "g", "a", "b", "s", 0.1).collect()} == {(1, 2), (2, 1)}
