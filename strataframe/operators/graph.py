@@ -23,33 +23,49 @@ def _write(edges: DataFrame) -> tuple[DataFrame, tuple]:
     return table, (seen.get["n"], seen.get["sum"])
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each node but the roots with its component, by hooking roots on smaller neighbours' roots and halving paths, on whole arrays."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    u, v = (np.concatenate([b.column(i).to_numpy() for b in parts]) for i in (0, 1))
-    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
-    a, b = at[: len(u)], at[len(u) :]
-    root = np.arange(len(nodes))
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest node of each of ``n`` nodes' components under edges of ``a`` with ``b``, by hooking roots on smaller neighbours' roots and halving paths, on whole arrays."""
+    root = np.arange(n)
     while True:
         x, y = root[a], root[b]
         if (x == y).all():
-            break
+            return root
         np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
         while True:
             up = root[root]
             if (up == root).all():
                 break
             root = up
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each node but the roots with its component."""
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
+        return
+    u, v = (np.concatenate([b.column(i).to_numpy() for b in parts]) for i in (0, 1))
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    root = roots(len(nodes), at[: len(u)], at[len(u) :])
     other = root != np.arange(len(nodes))
     yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(nodes[root[other]])], names=["u", "v"])
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of a partition as stars of what they connect, ``SMALL_EDGES`` or so at a time: fewer edges, and the same components."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= SMALL_EDGES:
+            yield from _settle(iter(held))
+            held = []
+    yield from _settle(iter(held))
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """``(node, component)`` for every node of an edge; the component is its smallest node.
 
-    Alternates the large-star and small-star rewrites, each one hash shuffle of at
+    Each partition first turns its own edges into stars, which settles groups that lie in one
+    partition. Then alternates the large-star and small-star rewrites, each one hash shuffle of at
     most the current edges, until an iteration leaves the edge set unchanged
     (a logarithmic number of rounds in practice). Every round is written to the
     shared folder, so a lost executor costs one round. Once at most ``SMALL_EDGES`` are
@@ -58,7 +74,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     """
     e = edges.select(F.col(src).cast("bigint").alias("u"), F.col(dst).cast("bigint").alias("v")).dropna()
     loops = e.filter("u = v").select(F.col("u").alias("node")).distinct()
-    cur, sig = _write(e.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    cur, sig = _write(e.filter("u <> v").mapInArrow(_forest, "u bigint, v bigint").distinct())
     while sig[0] > SMALL_EDGES:
         both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large-star: link each larger neighbour of u to the smallest of u's neighbourhood

@@ -1,42 +1,123 @@
 """Alignment, greedy matching and suppression (operators J1-J14, O1-O4, W10, W11).
 
-Joins on boxes are equi-joins on grid cells followed by the exact condition. Loops whose
+Joins on boxes meet by key, in grid cells where a key is large, and then by the exact condition. Loops whose
 result depends on their order run once a group in Arrow batches; groups are pages
 or files, so no group grows with the corpus.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strataframe.functions import geometry as G
 from strataframe.functions.text import indel_ratio, ratio
-from strataframe.operators.sequence import grouped
+from strataframe.operators.sequence import grouped, numbered, whole_groups
 
 CELL = 50.0
 
 
+#: Candidate pairs that are looked at at a time.
+CANDIDATES = 1 << 20
+#: Groups with more candidates than this are cut into grid cells.
+WHOLE_GROUP = 1 << 12
+
+
+def _expand(first: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of rows that meet ``count`` places from ``first`` on: the rows' numbers and the places, ``CANDIDATES`` or so at a time."""
+    ends = np.cumsum(count)
+    at = 0
+    while at < len(count):
+        done = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, done + CANDIDATES, "right")))
+        for low in range(0, int(count[at]), CANDIDATES) if stop == at + 1 else (0,):  # one row may meet more
+            n = count[at:stop] if stop > at + 1 else np.minimum(count[at:stop] - low, CANDIDATES)
+            rows = np.repeat(np.arange(at, stop), n)
+            yield rows, first[rows] + low + np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
+        at = stop
+
+
+def _meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a[0] < b[2]) & (b[0] < a[2]) & (a[1] < b[3]) & (b[1] < a[3])
+
+
+def _cells(box: np.ndarray, cell: float) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the boxes, once a grid cell that they touch, and the cells."""
+    c = np.floor(box / cell).astype(np.int64)
+    low, n = np.minimum(c[:2], c[2:]), np.abs(c[2:] - c[:2]) + 1
+    count = n[0] * n[1]
+    rows = np.repeat(np.arange(box.shape[1]), count)
+    k = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
+    return rows, np.stack([low[0][rows] + k % n[0][rows], low[1][rows] + k // n[0][rows]])
+
+
+def _pairs(box: np.ndarray, starts: np.ndarray, lefts: np.ndarray, ends: np.ndarray, cell: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The numbers of the rows whose boxes meet: of each group, those from its start on against those after its ``lefts``."""
+    work = lefts * (ends - starts - lefts)
+    small = work <= WHOLE_GROUP
+    n = np.where(small, lefts, 0)
+    rows = np.repeat(starts, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    for k, right in _expand(np.repeat(starts + lefts, n), np.repeat(ends - starts - lefts, n)):
+        hit = _meet(box[:, rows[k]], box[:, right])
+        yield rows[k[hit]], right[hit]
+    for s, m, e in zip(starts[~small], lefts[~small], ends[~small]):
+        left, right = (at[np.isfinite(box[:, at]).all(axis=0)] for at in (np.arange(s, s + m), np.arange(s + m, e)))
+        (lr, lc), (rr, rc) = _cells(box[:, left], cell), _cells(box[:, right], cell)
+        _, code = np.unique(np.concatenate([lc, rc], axis=1), axis=1, return_inverse=True)
+        lk, rk = code.ravel()[: len(lr)], code.ravel()[len(lr) :]
+        by_cell = np.argsort(rk, kind="stable")
+        first = np.searchsorted(rk[by_cell], lk)
+        for k, at in _expand(first, np.searchsorted(rk[by_cell], lk, "right") - first):
+            x, y = left[lr[k]], right[rr[by_cell[at]]]
+            home = np.floor(np.maximum(box[:2, x], box[:2, y]) / cell)  # a pair counts in one of its cells
+            hit = _meet(box[:, x], box[:, y]) & (home == lc[:, k]).all(axis=0)
+            yield x[hit], y[hit]
+
+
 def range_join(left: DataFrame, right: DataFrame, by: list[str], condition: Callable[[G.Box, G.Box], Column] = G.intersects, cell: float = CELL) -> DataFrame:
     """Pairs of intersecting boxes within a key that also meet ``condition``; right columns get the prefix ``r_``.
 
-    Boxes are sent to all grid cells they touch; a pair is reported only in the cell of the upper left
-    corner of its overlap, so none appears twice and no ``distinct`` is needed.
+    Both sides are brought together by the key and matched on whole arrays, so a row is shuffled once at most, and not
+    at all where its table is parted by the key already. Boxes of a large key are sent to all grid cells they touch; a
+    pair is reported only in the cell of the upper left corner of its overlap, so none appears twice.
     """
-
-    def cells(df: DataFrame, p: str) -> DataFrame:
-        span = lambda a, z: F.sequence(F.floor(F.col(p + a) / cell), F.floor(F.col(p + z) / cell))
-        return df.withColumn("__cx", F.explode(span("x0", "x1"))).withColumn("__cy", F.explode(span("y0", "y1")))
-
     r = right.toDF(*[f"r_{c}" for c in right.columns])
     a, b = G.box(), G.box("r_")
-    on = [F.col(k) == F.col(f"r_{k}") for k in by]
-    rc = cells(r, "r_").withColumnsRenamed({"__cx": "__rx", "__cy": "__ry"})
-    home = (F.floor(F.greatest(a.x0, b.x0) / cell) == F.col("__cx")) & (F.floor(F.greatest(a.y0, b.y0) / cell) == F.col("__cy"))
-    j = cells(left, "").join(rc, [*on, F.col("__cx") == F.col("__rx"), F.col("__cy") == F.col("__ry")])
-    return j.filter(home & G.intersects(a, b) & condition(a, b)).select(*left.columns, *r.columns)
+    kinds = {f.name: f.dataType for f in left.schema}
+    # a column that both sides have is one column of both
+    shared = {c for c in right.columns if c in kinds and kinds[c] == right.schema[c].dataType}
+    place = {c: c if c in shared else f"r_{c}" for c in right.columns}
+    keys = [k if k in shared else f"__k{i}" for i, k in enumerate(by)]
+    loose = [(k, n) for k, n in zip(by, keys) if k != n]
+    lonely = [c for c in right.columns if c not in shared]
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    one = left.select(F.lit(0).alias("__s"), *left.columns, *[none(right.schema[c].dataType, f"r_{c}") for c in lonely], *[F.col(k).alias(n) for k, n in loose])
+    two = right.select(
+        F.lit(1).alias("__s"), *[F.col(c) if c in shared else none(kinds[c], c) for c in left.columns], *[F.col(c).alias(f"r_{c}") for c in lonely], *[F.col(k).alias(n) for k, n in loose]
+    )
+    both = one.dropna(subset=keys).unionByName(two.dropna(subset=keys))
+    out = StructType([*left.schema, *r.schema])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches):
+            table = table.combine_chunks()
+            side = table.column("__s").to_numpy()
+            numbers = lambda c: table.column(c).to_numpy().astype(float)  # noqa: E731, B023
+            box = np.stack([numbers(c) if c in shared else np.where(side == 0, numbers(c), numbers(f"r_{c}")) for c in ("x0", "y0", "x1", "y1")])  # noqa: B023
+            lefts = np.add.reduceat(1 - side.astype(np.int64), starts)
+            mine, other = table.select(left_names), table.select(right_names)
+            for x, y in _pairs(box, starts, lefts, np.append(starts[1:], table.num_rows), cell):
+                if len(x):
+                    columns = [*mine.take(pa.array(x)).columns, *other.take(pa.array(y)).columns]
+                    yield pa.RecordBatch.from_arrays([c.combine_chunks() for c in columns], names=names)
+
+    left_names, right_names, names = left.columns, [place[c] for c in right.columns], out.names
+    return numbered(both, keys, ["__s"]).mapInArrow(run, out).filter(condition(a, b))
 
 
 def segments_near(boxes: DataFrame, segments: DataFrame, margin: float, cell: float = CELL) -> DataFrame:
@@ -50,16 +131,20 @@ def segments_near(boxes: DataFrame, segments: DataFrame, margin: float, cell: fl
 
 
 def near_lines(keys: DataFrame, lines: DataFrame, by: list[str], left: float, right: float, below: float, above: float) -> DataFrame:
-    """Lines that intersect the key's band, widened by factors of its width to both sides, or of its height up and down."""
-    a = G.box()
-    w, h = G.width(a), G.height(a)
-    wide = keys.withColumns({"__x0": a.x0 - left * w, "__x1": a.x1 + right * w})
-    tall = keys.withColumns({"__y0": a.y0 - above * h, "__y1": a.y1 + below * h})
+    """Lines that intersect the key's band, widened by factors of its width to both sides, or of its height up and down; equal rows once.
+
+    One join finds the lines that meet the box around both bands. As a pair holds all columns of both sides, pairs are
+    distinct where their sides are, which takes no shuffle of pairs.
+    """
+    own = G.Box(*[F.col(f"k_{c}") for c in ("x0", "y0", "x1", "y1")])
+    w, h = G.width(own), G.height(own)
+    wide, tall = G.Box(own.x0 - left * w, own.y0, own.x1 + right * w, own.y1), G.Box(own.x0, own.y0 - above * h, own.x1, own.y1 + below * h)
     names = keys.columns
-    sub = lambda d, **new: d.select(*[F.col(new[c]).alias(c) if c in new else F.col(c) for c in names], *[F.col(c).alias(f"k_{c}") for c in ("x0", "y0", "x1", "y1")])
-    found = range_join(sub(wide, x0="__x0", x1="__x1"), lines, by).unionByName(range_join(sub(tall, y0="__y0", y1="__y1"), lines, by))
+    k = keys.distinct().withColumns({f"k_{c}": F.col(c) for c in ("x0", "y0", "x1", "y1")})
+    k = k.withColumns({"x0": F.least(wide.x0, tall.x0), "y0": F.least(wide.y0, tall.y0), "x1": F.greatest(wide.x1, tall.x1), "y1": F.greatest(wide.y1, tall.y1)})
+    found = range_join(k, lines.distinct(), by).filter(G.intersects(wide, G.box("r_")) | G.intersects(tall, G.box("r_")))
     back = [F.col(f"k_{c}").alias(c) if c in ("x0", "y0", "x1", "y1") else F.col(c) for c in names]
-    return found.select(*back, *[f"r_{c}" for c in lines.columns]).distinct()
+    return found.select(*back, *[f"r_{c}" for c in lines.columns])
 
 
 def suppress(df: DataFrame, by: list[str], score: str, ident: str) -> DataFrame:

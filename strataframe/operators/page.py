@@ -8,12 +8,17 @@ as large as a page has lines, and are compared with a page's segments only.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strataframe.functions import geometry as G
 from strataframe.functions.text import parse_text
-from strataframe.operators.sequence import contained_run, grouped
+from strataframe.operators.sequence import contained_run, grouped, numbered, whole_groups
 
 SIDES = ("x0", "y0", "x1", "y1")
 
@@ -30,29 +35,37 @@ def _rows(df: DataFrame, order: str) -> DataFrame:
 def line_starts(lines: DataFrame, order: str = "id") -> DataFrame:
     """``(page, order, starts)``: of the lines before and after that share over half the larger width, up to three
     each way, nearest first, are counted until one is over five heights away or neither
-    aligned nor indented; three aligned ones make a start, or two and an indented one."""
-
-    def points(near: Column, me: Column) -> Column:
-        h = me["y1"] - me["y0"]
-
-        def step(acc: Column, o: Column) -> Column:
-            shift = o["x0"] - me["x0"]
-            exact, indented = F.abs(shift) < 0.2 * h, (shift > 0) & (shift < 2 * h)
-            far = F.greatest(o["y0"] - me["y1"], me["y0"] - o["y1"]) > 5 * h
-            stop = acc["stop"] | far | ~(exact | indented)
-            more = lambda c, on: acc[c] + F.when(~stop & on, 1).otherwise(0)
-            return F.struct(more("exact", exact).alias("exact"), more("indented", indented & ~exact).alias("indented"), stop.alias("stop"))
-
-        wide = F.filter(near, lambda o: G.x_overlap_significant(_box(o), _box(me), 0.5, largest=True))
-        return F.aggregate(F.slice(wide, 1, 3), F.struct(F.lit(0).alias("exact"), F.lit(0).alias("indented"), F.lit(False).alias("stop")), step)
-
-    def one(me: Column, i: Column) -> Column:
-        a = F.col("a")
-        up, down = points(F.reverse(F.slice(a, 1, i)), me), points(F.slice(a, i + 2, F.size(a)), me)
-        exact, indented = up["exact"] + down["exact"], up["indented"] + down["indented"]
-        return F.struct(me["o"].alias(order), ((exact >= 3) | ((exact >= 2) & (indented >= 1))).alias("starts"))
-
-    return _rows(lines, order).select("page", F.inline(F.transform("a", one)))
+    aligned nor indented; three aligned ones make a start, or two and an indented one. A line without a whole box is
+    no start and no neighbour."""
+
+    def fold(rows: list[dict]) -> list[dict]:
+        boxes = [None if None in (b := tuple(r[c] for c in SIDES)) else b for r in rows]
+
+        def points(me: tuple, near: Iterable[int]) -> tuple[int, int]:
+            x0, y0, x1, y1 = me
+            h, w, seen, exact, indented = y1 - y0, x1 - x0, 0, 0, 0
+            for k in near:
+                o = boxes[k]
+                if o is None or not max(0.0, min(o[2], x1) - max(o[0], x0)) > 0.5 * max(o[2] - o[0], w):
+                    continue
+                shift = o[0] - x0
+                even = abs(shift) < 0.2 * h
+                if max(o[1] - y1, y0 - o[3]) > 5 * h or not (even or 0 < shift < 2 * h):
+                    break
+                exact, indented, seen = exact + even, indented + (not even), seen + 1
+                if seen == 3:
+                    break
+            return exact, indented
+
+        out = []
+        for i, (r, me) in enumerate(zip(rows, boxes)):
+            up, down = (points(me, range(i - 1, -1, -1)), points(me, range(i + 1, len(rows)))) if me else ((0, 0), (0, 0))
+            exact = up[0] + down[0]
+            out.append({"page": r["page"], order: r[order], "starts": exact >= 3 or (exact >= 2 and up[1] + down[1] >= 1)})
+        return out
+
+    kinds = dict(lines.dtypes)
+    return grouped(lines.select("page", order, *SIDES), ["page"], [order], fold, f"page {kinds['page']}, {order} {kinds[order]}, starts boolean")
 
 
 def indentation(lines: DataFrame, order: str = "id") -> DataFrame:
@@ -405,15 +418,26 @@ def legend_blocks(lines: DataFrame, order: str = "id") -> DataFrame:
     return d.groupBy("page").agg(((hit("y0") > 1) | (hit("x0") > 2)).alias("legend"))
 
 
-def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(page, id, group)``: the smallest id that edges ``page, id, r_id`` connect each node with; ids are under 2^20 a page."""
-    from strataframe.operators.graph import connected_components
+def _components(nodes: DataFrame, edges: DataFrame, *carried: str) -> DataFrame:
+    """``(page, id, group)`` and the ``carried`` columns: the smallest id that edges ``page, id, r_id`` connect each node of a page with. Pages are brought together by one shuffle, and settled on whole arrays."""
+    from strataframe.operators.graph import roots
+
+    rows = nodes.select("page", "id", F.lit(None).cast("bigint").alias("other"), *carried).unionByName(edges.selectExpr("page", "id", "cast(r_id as bigint) as other"), allowMissingColumns=True)
+    out = StructType([*nodes.select("page", "id", *carried).schema, StructField("group", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches):
+            edge = ~table.column("other").is_null().to_numpy()
+            group = np.cumsum(np.bincount(starts, minlength=table.num_rows)) - 1
+            mine = table.column("id").to_numpy().astype(np.int64)
+            ids, at = np.unique(np.concatenate([mine, table.column("other").fill_null(0).to_numpy()[edge]]), return_inverse=True)
+            codes, node = np.unique(np.concatenate([group, group[edge]]) * len(ids) + at, return_inverse=True)
+            root = roots(len(codes), node[: len(mine)][edge], node[len(mine) :])
+            found = ids[codes[root[node[: len(mine)][~edge]]] % len(ids)]
+            kept = table.filter(pa.array(~edge)).select(["page", "id", *carried]).append_column("group", pa.array(found))
+            yield from kept.to_batches()
 
-    code = lambda c: F.shiftleft(F.col("page"), 20) + F.col(c)
-    c = connected_components(edges.select(code("id").alias("src"), code("r_id").alias("dst")))
-    low = lambda x: F.col(x).bitwiseAND((1 << 20) - 1)
-    named = c.select(F.shiftright("node", 20).alias("page"), low("node").alias("id"), low("component").alias("group"))
-    return nodes.select("page", "id").join(named, ["page", "id"], "left").withColumn("group", F.coalesce("group", "id"))
+    return numbered(rows, ["page"], ["id"]).mapInArrow(run, out)
 
 
 def table_regions(lines: DataFrame, reach: float = 8.0) -> DataFrame:
@@ -426,7 +450,7 @@ def table_regions(lines: DataFrame, reach: float = 8.0) -> DataFrame:
     a, b = _box(F.col("seg")), _box(F.col("r_seg"))
     ends = F.array(*[F.struct(F.col(s).alias("s"), x.alias("x"), y.alias("y")) for s, o in (("seg", b), ("r_seg", a)) for x, y in ((o.x0, o.y0), (o.x1, o.y1))])
     meets = F.exists(ends, lambda p: G.distance_to_segment(_box(p["s"]), p["x"], p["y"]) <= reach) | G.segments_intersect(a, b)  # one expression for the four ends
-    found = lines.join(_components(lines, j.filter(meets)), ["page", "id"])
+    found = _components(lines, j.filter(meets), "is_vertical")
     w = Window.partitionBy("page", "group")
     both = (F.max(F.col("is_vertical").cast("int")).over(w) == 1) & (F.min(F.col("is_vertical").cast("int")).over(w) == 0)
     return found.withColumn("__b", both).filter("__b").select("page", "id", F.col("group").alias("region"))
@@ -442,7 +466,7 @@ def pattern_density(boxes: DataFrame, pages: DataFrame, share: float) -> DataFra
     wide = m.select("page", "id", "mx", "my", "eps", half("mx", -1)("x0"), half("my", -1)("y0"), half("mx", 1)("x1"), half("my", 1)("y1"))
     near = F.hypot(F.col("mx") - F.col("r_mx"), F.col("my") - F.col("r_my")) <= F.col("eps")
     edges = range_join(wide, wide.select("page", "id", "mx", "my", *SIDES), ["page"]).filter(F.col("id") < F.col("r_id")).filter(near)
-    areas = boxes.join(_components(boxes, edges), ["page", "id"]).groupBy("page", "group").agg(((F.max("x1") - F.min("x0")) * (F.max("y1") - F.min("y0"))).alias("a"))
+    areas = _components(boxes, edges, *SIDES).groupBy("page", "group").agg(((F.max("x1") - F.min("x0")) * (F.max("y1") - F.min("y0"))).alias("a"))
     total = areas.groupBy("page").agg(F.sum("a").alias("a"))
     return pages.join(total, "page", "left").select("page", F.least(F.lit(1.0), F.coalesce("a", F.lit(0.0)) / (F.col("width") * F.col("height"))).alias("density"))
 

@@ -112,6 +112,46 @@ def test_many_groups_share_a_batch(spark):
     assert sequence.grouped(df.limit(0), ["g"], ["i"], fold, "g long, n int, shown string").count() == 0
 
 
+def test_range_join_against_all_pairs(spark):
+    rng = random.Random(4)
+
+    def rows(n, sides):
+        for i in range(n):
+            x, y = rng.uniform(-200, 900), rng.uniform(-200, 900)
+            w = rng.choice([5, 40, 300, -20])  # some boxes are turned round
+            yield (1 if i % 3 else 2 if i % 2 else None, i, x, y, x + w, None if i % 50 == 0 else y + rng.choice([0, 30, 120]), sides)
+
+    shape = "page long, id long, x0 double, y0 double, x1 double, y1 double, side string"
+    a, b = list(rows(260, "a")), list(rows(240, "b"))
+    left, right = spark.createDataFrame(a, shape), spark.createDataFrame(b, shape)
+    meets = lambda p, q: p[0] is not None and p[0] == q[0] and None not in (p[5], q[5]) and p[2] < q[4] and q[2] < p[4] and p[3] < q[5] and q[3] < p[5]
+    want = sorted((p[1], q[1]) for p in a for q in b if meets(p, q))
+    j = matching.range_join(left, right, ["page"])
+    assert j.columns == left.columns + [f"r_{c}" for c in right.columns] and "Generate" not in j._jdf.queryExecution().executedPlan().toString()  # no row a cell is shuffled
+    got = j.collect()
+    assert sorted((r.id, r.r_id) for r in got) == want and len(want) > 200 and all(r.side == "a" and r.r_side == "b" for r in got)
+    other = matching.range_join(left, right.selectExpr("cast(page as int) as page", "cast(id as string) as id", "x0", "cast(y0 as float) as y0", "x1", "y1"), ["page"]).collect()  # columns of other types
+    assert abs(len(other) - len(want)) < 3 and all(isinstance(r.r_id, str) for r in other)
+    assert matching.range_join(left.limit(0), right, ["page"]).count() == 0
+
+
+def test_near_lines_once(spark):
+    box = "page long, id long, x0 double, y0 double, x1 double, y1 double"
+    keys = spark.createDataFrame([(1, 1, 0.0, 0.0, 10.0, 10.0)] * 2, box)
+    lines = spark.createDataFrame([(1, 2, 5.0, 5.0, 8.0, 12.0), (1, 2, 5.0, 5.0, 8.0, 12.0), (1, 3, 25.0, 2.0, 30.0, 8.0), (1, 4, 2.0, 15.0, 8.0, 18.0), (1, 5, 25.0, 15.0, 30.0, 18.0)], box)
+    n = matching.near_lines(keys, lines, ["page"], 1, 2, 1, 0)
+    assert sorted((r.id, r.x1, r.r_id) for r in n.collect()) == [(1, 10.0, 2), (1, 10.0, 3), (1, 10.0, 4)]  # the last one lies in neither band
+
+
+def test_page_components_of_large_ids(spark):
+    from strataframe.operators import page
+
+    nodes = spark.createDataFrame([(p, i) for p in (1, 2) for i in (1, 2, 5, 1 << 21, 1 << 40)], "page long, id long")
+    edges = spark.createDataFrame([(1, 2, 1 << 40), (1, 5, 1 << 40), (2, 1, 1 << 21)], "page long, id long, r_id long")
+    got = {(r.page, r.id): r.group for r in page._components(nodes, edges).collect()}
+    assert got == {(p, i): i for p in (1, 2) for i in (1, 2, 5, 1 << 21, 1 << 40)} | {(1, 5): 2, (1, 1 << 40): 2, (2, 1 << 21): 1}
+
+
 def test_greedy_pairs(spark):
     df = spark.createDataFrame([(1, 1, 1, 0.9), (1, 1, 2, 0.95), (1, 2, 2, 0.9), (1, 2, 1, 0.2), (1, 3, 3, 0.0)], "g long, a long, b long, s double")
     assert {(r.a, r.b) for r in matching.greedy_pairs(df, "g", "a", "b", "s", 0.1).collect()} == {(1, 2), (2, 1)}
