@@ -221,16 +221,18 @@ def align_zone_lines(zones: DataFrame, lines: DataFrame, bonus: DataFrame, kind:
     """J4 on tables: ``(page, zone, id)``, the zone of every line, from zones as ``page.zones`` gives them, lines with boxes and ``(page, id, bonus)``; a zone that stays empty between others has a null line."""
     from strataframe.operators.page import zone_score
 
-    pairs = zones.join(lines, "page").join(bonus, ["page", "id"])
-    scored = pairs.select("page", "zone", "id", "bonus", zone_score(kind, G.box("s_"), G.box("e_"), G.box()).alias("score"))
+    pairs = zones.join(lines, "page")
+    scored = pairs.select("page", "zone", "id", zone_score(kind, G.box("s_"), G.box("e_"), G.box()).alias("score"), F.lit(None).cast("double").alias("bonus"))
+    rows = scored.unionByName(bonus.select("page", F.lit(None).cast("bigint").alias("zone"), "id", F.lit(None).cast("double").alias("score"), F.col("bonus").cast("double").alias("bonus")))
 
     def fold(rows: list[dict]) -> list[dict]:
-        zone, line = sorted({r["zone"] for r in rows}), sorted({r["id"] for r in rows})
-        score, gain = {(r["zone"], r["id"]): r["score"] for r in rows}, {r["id"]: r["bonus"] for r in rows}
+        gain = {r["id"]: r["bonus"] for r in rows if r["zone"] is None}
+        score = {(r["zone"], r["id"]): r["score"] for r in rows if r["zone"] is not None and r["id"] in gain}
+        zone, line = sorted({z for z, _ in score}), sorted({i for _, i in score})
         _, found = align_zones([[score[z, i] for i in line] for z in zone], [gain[i] for i in line])
         return [{"page": rows[0]["page"], "zone": zone[k], "id": i} for k, mine in found for i in ([line[j] for j in mine] or [None])]
 
-    return grouped(scored, ["page"], ["zone", "id"], fold, "page bigint, zone bigint, id bigint")
+    return grouped(rows, ["page"], ["zone", "id"], fold, "page bigint, zone bigint, id bigint")
 
 
 def layer_score(p: dict, t: dict, kind: str = "layer") -> float:

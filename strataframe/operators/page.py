@@ -104,44 +104,54 @@ def line_affinity(lines: DataFrame, segments: DataFrame, diagonals: DataFrame, o
     ``long_lines``/``left_lines``: -1 if a horizontal segment that covers over ``ratio`` of the lines' outer width, or
     one over ``least`` long that cuts the left edge, lies between; ``spacing``: falls with the distance; ``right_end``: how
     much farther right the line ends; ``diagonal``: -1 if a diagonal ends between; ``gap``: 1 if the gap is like the one
-    before. Segments come as one array a page, so no pair of a line and a segment becomes a row.
+    before. A page's lines and segments are folded together, so no pair of a line and a segment becomes a row. A line
+    without a whole box, and the one after it, have zeros.
     """
-    by = Window.partitionBy("page").orderBy(order)
-    page = Window.partitionBy("page")
-    s = lambda name: F.array_sort(F.collect_list(F.struct(*SIDES))).alias(name)
-    flat_lines = segments.filter(G.is_horizontal(G.box(), flat)).groupBy("page").agg(s("flat"))
-    d = lines.join(flat_lines, "page", "left").join(diagonals.groupBy("page").agg(s("diag")), "page", "left")
-    d = d.join(indentation(lines, order), ["page", order])
-    for c in SIDES:
-        d = d.withColumn(f"p_{c}", F.lag(c).over(by))
-    me, p = G.box(), G.box("p_")
-    d = d.withColumns({"rx0": F.min("x0").over(page), "rx1": F.max("x1").over(page), "__gap": me.y0 - p.y1})
-    d = d.withColumns(
-        {
-            "__least": F.min(F.when(me.y0 > p.y0 + G.height(p) / 2, me.y0 - p.y0)).over(page) * 1.15,
-            "__over": F.coalesce(F.max(F.col("__gap") < 0).over(page), F.lit(False)),
-            "__before": F.lag("__gap").over(by),
-        }
-    )
-    top, bottom = p.y0 + G.height(p) * 2 / 3, me.y0 + G.height(me) / 3
-    between = lambda g: ((g["y0"] + g["y1"]) / 2 > top) & ((g["y0"] + g["y1"]) / 2 < bottom)
-    cuts = lambda g, x: (g["x0"] - 2 < x) & (x < g["x1"] + 2)
-    spans = lambda g: F.least(F.col("rx1"), g["x1"]) - F.greatest(F.col("rx0"), g["x0"]) > ratio * (F.col("rx1") - F.col("rx0"))
-    minus = lambda found: F.when(F.coalesce(found, F.lit(False)), -1.0).otherwise(0.0)
-    shift = (me.x1 - p.x1) / G.width(me)
-    reference = F.when(F.col("__over"), G.height(me)).otherwise(F.col("__least"))
-    gap = F.when(F.col("__gap") > 0.6 * G.height(p), 0.0).when(F.col("__before").isNull() | (F.col("__gap") <= F.col("__before") + 0.2 * G.height(p)), 1.0).otherwise(0.0)
-    value = {
-        "long_lines": minus(F.exists("flat", lambda g: between(g) & spans(g))),
-        "left_lines": minus(F.exists("flat", lambda g: between(g) & (g["x1"] - g["x0"] > least) & (cuts(g, p.x0) | cuts(g, me.x0)))),
-        "spacing": F.greatest(F.lit(-1.0), 1 - F.try_divide(me.y1 - p.y1, reference)),
-        "right_end": F.when(shift < 0.15, 0.0).otherwise(F.greatest(F.lit(-1.0), -shift)),
-        "diagonal": minus(F.exists("diag", lambda g: ((p.y0 + p.y1) / 2 < g["y1"]) & (g["y1"] < (me.y0 + me.y1) / 2))),
-        "gap": gap,
-        "indentation": F.col("indentation"),
-    }
-    first = p.x0.isNull()
-    return d.select("page", order, *[F.when(first, 0.0).otherwise(F.coalesce(v, F.lit(0.0))).alias(k) for k, v in value.items()])
+    side = lambda d, tag, at: d.select("page", F.lit(tag).alias("__side"), at.alias(order), *SIDES)
+    none = F.lit(None).cast(lines.schema[order].dataType)
+    rows = side(lines, 0, F.col(order)).unionByName(side(segments.filter(G.is_horizontal(G.box(), flat)), 1, none)).unionByName(side(diagonals, 2, none)).filter("page is not null")
+
+    def fold(rows: list[dict]) -> list[dict]:
+        mine = [r for r in rows if r["__side"] == 0]
+        flats = [(r["x0"], (r["y0"] + r["y1"]) / 2, r["x1"]) for r in rows if r["__side"] == 1]
+        ends = [r["y1"] for r in rows if r["__side"] == 2 and r["y1"] is not None]
+        boxes = [None if None in (b := tuple(r[c] for c in SIDES)) else b for r in mine]
+        whole = [b for b in boxes if b]
+        left, right = min((b[0] for b in whole), default=0.0), max((b[2] for b in whole), default=0.0)
+        steps = [(p, b) for p, b in zip(boxes, boxes[1:]) if p and b]
+        over = any(b[1] - p[3] < 0 for p, b in steps)
+        tops = [b[1] - p[1] for p, b in steps if b[1] > p[1] + (p[3] - p[1]) / 2]
+        lowest = min(tops) * 1.15 if tops else None
+        out, p, before, inside = [], None, None, False
+        for r, me in zip(mine, boxes):
+            v = [0.0] * 7
+            last, before = before, None
+            if p and me:
+                (px0, py0, px1, py1), (x0, y0, x1, y1) = p, me
+                hp, h, w = py1 - py0, y1 - y0, x1 - x0
+                top, bottom = py0 + hp * 2 / 3, y0 + h / 3
+                between = [g for g in flats if top < g[1] < bottom]
+                before = gap = y0 - py1
+                if any(min(right, g[2]) - max(left, g[0]) > ratio * (right - left) for g in between):
+                    v[0] = -1.0
+                if any(g[2] - g[0] > least and (g[0] - 2 < px0 < g[2] + 2 or g[0] - 2 < x0 < g[2] + 2) for g in between):
+                    v[1] = -1.0
+                reference = h if over else lowest
+                v[2] = max(-1.0, 1 - (y1 - py1) / reference) if reference else -1.0
+                shift = (x1 - px1) / w if w else 0.0
+                v[3] = 0.0 if shift < 0.15 else max(-1.0, -shift)
+                if any((py0 + py1) / 2 < y < (y0 + y1) / 2 for y in ends):
+                    v[4] = -1.0
+                v[5] = 1.0 if gap <= 0.6 * hp and (last is None or gap <= last + 0.2 * hp) else 0.0
+                wide = max(px1 - px0, w)
+                if y0 <= py1 + hp:
+                    v[6] = (3.0 if x0 >= px0 - 0.03 * wide else -1.0) if inside else float(px0 + 0.03 * wide <= x0 <= px0 + 0.2 * wide)
+            p, inside = me, v[6] > 0
+            out.append({"page": r["page"], order: r[order], **dict(zip(AFFINITIES, v))})
+        return out
+
+    kinds = dict(lines.dtypes)
+    return grouped(rows, ["page"], ["__side", order], fold, f"page {kinds['page']}, {order} {kinds[order]}, " + ", ".join(f"{c} double" for c in AFFINITIES))
 
 
 def weighted_affinity(kind: str) -> Column:

@@ -91,3 +91,19 @@ def test_zone_alignment_against_all_assignments():
         )
         got, found = matching.align_zones(score, bonus)
         assert abs(got * max(n, m) - best) < 1e-9 and sorted(j for _, mine in found for j in mine) == list(range(m))
+
+
+def test_lines_are_folded_with_their_page(spark):
+    from strataframe.operators import page
+
+    box = "page bigint, id bigint, x0 double, y0 double, x1 double, y1 double"
+    lines = spark.createDataFrame([(1, i, 0.0 if i != 3 else 5.0, 12.0 * i, 50.0, 12.0 * i + 10) for i in range(1, 6)] + [(1, 6, None, 72.0, 50.0, 82.0)], box)
+    starts = page.line_starts(lines)
+    assert {r.id: r.starts for r in starts.collect()} == {1: True, 2: True, 3: False, 4: True, 5: True, 6: False}
+    rules = spark.createDataFrame([(1, 1, 0.0, 23.0, 50.0, 23.0), (1, 2, 0.0, 0.0, 9.0, 9.0), (2, 1, 0.0, 0.0, 9.0, 0.0)], box)
+    found = page.line_affinity(lines, rules, rules.filter("id = 2"))
+    got = {r.id: (r.long_lines, r.left_lines, r.diagonal, r.gap, r.indentation) for r in found.collect()}
+    assert got == {1: (0, 0, 0, 0, 0), 2: (-1, -1, 0, 1, 0), 3: (0, 0, 0, 1, 1), 4: (0, 0, 0, 1, -1), 5: (0, 0, 0, 1, 0), 6: (0, 0, 0, 0, 0)}
+    for d in (starts, found):
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "Join" not in plan  # neither arrays in expressions nor a table for each rule
